@@ -9,6 +9,7 @@ from surgemark.functions.scalar import clamp01, direction_ok, logistic
 from surgemark.schemas import DETAIL, RESULT
 
 FLAT_STD = 1e-9
+ROUNDING = 1e-12        # relative difference below which two doubles count as equal
 FLAT_SCORE = 0.6
 
 
@@ -59,6 +60,12 @@ def unavailable_struct(name: str, value: Column) -> Column:
     )
 
 
+def departure(x: Column, mean: Column) -> Column:
+    """``x - mean``, where a mere rounding difference is no move in either direction (the
+    sign of such a difference would depend on the order values were summed in)."""
+    return F.when(F.abs(x - mean) <= F.abs(x) * ROUNDING, F.lit(0.0)).otherwise(x - mean)
+
+
 def sigma_verdict(
     delta: Column, std: Column, warming: Column, threshold: float, direction: str
 ) -> tuple[Column, Column, Column, Column]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
 from surgemark.operators.detectors.base import (
-    Detector, result_struct, row_number_in_series, sigma_verdict, slice_line,
+    Detector, departure, result_struct, row_number_in_series, sigma_verdict, slice_line,
 )
 
 
@@ -49,7 +49,7 @@ class EwmaChart(Detector):
         warming = first | (row_number_in_series() + 1 <= cfg.ewma_warmup)
         mean, std = F.col("_em"), F.col("_es")
         flag, score, z, flat = sigma_verdict(
-            F.col("_ed"), std, warming, cfg.ewma_threshold, cfg.direction
+            departure(x, mean), std, warming, cfg.ewma_threshold, cfg.direction
         )
         result = result_struct(
             self.name, flag, score, x, F.when(first, x).otherwise(mean),

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
-from surgemark.operators.detectors.base import Detector, result_struct, sigma_verdict, slice_line
+from surgemark.operators.detectors.base import (
+    Detector, departure, result_struct, sigma_verdict, slice_line,
+)
 
 
 class RollingZScore(Detector):
@@ -26,7 +28,7 @@ class RollingZScore(Detector):
         n, mean, std = F.col("_zn"), F.col("_zm"), F.col("_zs")
         warming = n < cfg.zscore_min_samples
         flag, score, z, flat = sigma_verdict(
-            x - mean, std, warming, cfg.zscore_threshold, cfg.direction
+            departure(x, mean), std, warming, cfg.zscore_threshold, cfg.direction
         )
         result = result_struct(
             self.name, flag, score, x, F.when(warming, x).otherwise(mean),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
-from surgemark.operators.prefix import chunk_carries, running_extremes
 
 NO_EMISSION = -1e9
 COOLDOWN_CHUNK = 4_096
@@ -104,18 +103,38 @@ def apply_cooldown(
         return candidates
     keys = list(keys)
     at = F.col("_at")
-    slim = candidates.select(*keys, F.col(ts).cast("double").alias("_at")).distinct().withColumn(
-        "_chunk", F.floor(at / F.lit(cd * chunk_spans))
-    )
-    carries = chunk_carries(slim, keys, "_chunk", {"prev": ("max", at)})
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_at")
-    starts = (
-        slim.join(carries, on=[*keys, "_chunk"], how="left")
-        .withColumn("_prev", F.coalesce(F.lag("_at").over(inside), F.col("carry_prev")))
-        .withColumn("_start", F.when(F.col("_prev").isNull() | (at - F.col("_prev") >= cd), at))
-        .drop("carry_prev", "_prev")
+    slim = (
+        candidates.select(*keys, F.col(ts).cast("double").alias("_at"))
+        .withColumn("_chunk", F.floor(at / F.lit(cd * chunk_spans)))
+        .withColumn("_prev", F.lag("_at").over(inside))
+        .withColumn("_start", F.when(at - F.col("_prev") >= cd, at))
+    )
+    # Per chunk: the last candidate before it, and the last run start before it.
+    chunks = Window.partitionBy(*keys).orderBy("_chunk")
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    carries = (
+        slim.groupBy(*keys, "_chunk")
+        .agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"),
+             F.max("_start").alias("_inner"))
+        .withColumn("_carry_prev", F.lag("_last").over(chunks))
+        .withColumn("_opens", F.coalesce(
+            "_inner",
+            F.when(F.col("_carry_prev").isNull() | (F.col("_first") - F.col("_carry_prev") >= cd),
+                   F.col("_first")),
+        ))
+        .withColumn("_carry_start", F.max("_opens").over(earlier))
+        .select(*keys, "_chunk", "_carry_prev", "_carry_start")
+    )
+    opens = F.coalesce(
+        F.col("_start"),
+        F.when(
+            F.col("_prev").isNull()
+            & (F.col("_carry_prev").isNull() | (at - F.col("_carry_prev") >= cd)), at),
+    )
+    runs = slim.join(carries, on=[*keys, "_chunk"], how="left").withColumn(
+        "_run", F.greatest(F.col("_carry_start"), F.max(opens).over(inside))
     )
-    runs = running_extremes(starts, keys, "_chunk", ["_at"], {"_run": ("max", F.col("_start"))})
     state = F.struct(
         F.lit(NO_EMISSION).alias("last"),
         F.array().cast("array<double>").alias("kept"),

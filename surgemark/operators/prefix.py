@@ -55,3 +55,41 @@ def running_extremes(
             name, _PICK[kind](F.col(f"carry_{name}"), _AGG[kind](col).over(inside))
         )
     return out.drop(*[f"carry_{name}" for name in specs])
+
+
+def neighbour(
+    df: DataFrame, keys: Sequence[str], chunk: str, order: str, value: Column, name: str,
+    step: int = -1,
+) -> DataFrame:
+    """Add ``name``: ``value`` of the previous (-1) or next (+1) row of the series.
+
+    Inside a chunk this is lag/lead; at a chunk edge it comes from the edge row of the
+    nearest non-empty chunk. ``order`` should be unique within a series.
+    """
+    line = Window.partitionBy(*keys, chunk).orderBy(order)
+    chunks = Window.partitionBy(*keys).orderBy(chunk)
+    marked = df.withColumn("_v", value)
+    edge = (F.max_by if step < 0 else F.min_by)("_v", order)
+    shift = F.lag if step < 0 else F.lead
+    edges = (
+        marked.groupBy(*keys, chunk).agg(edge.alias("_edge"))
+        .select(*keys, chunk, shift("_edge").over(chunks).alias("_beyond"))
+    )
+    return (
+        marked.join(edges, on=[*keys, chunk], how="left")
+        .withColumn(name, F.coalesce(shift("_v").over(line), "_beyond"))
+        .drop("_v", "_beyond")
+    )
+
+
+def slice_rows(
+    df: DataFrame, halo: int, length: int, key: str = "window_id"
+) -> DataFrame:
+    """Copy rows into slices of ``length`` keys plus the ``halo`` keys before them, so a
+    bounded look-back can be evaluated inside ``(series, slice)`` groups."""
+    k, size = F.col(key), F.lit(length)
+    first = F.floor(k / size)
+    return (
+        df.withColumn("slice", F.explode(F.sequence(first, F.floor((k + F.lit(halo)) / size))))
+        .withColumn("in_slice", k >= F.col("slice") * size)
+    )

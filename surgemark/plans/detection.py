@@ -68,8 +68,13 @@ def score_windows(
     )
 
 
-def surfaced_windows(scored: DataFrame, cfg: EngineConfig) -> DataFrame:
-    return anomaly_records(apply_cooldown(ensemble(scored, cfg), cfg))
+def surfaced_windows(scored: DataFrame, cfg: EngineConfig, staged: bool = False) -> DataFrame:
+    """Ensemble and cooldown. The cooldown reads its candidates more than once, so with
+    ``staged`` the (rare) candidates are stored first instead of being scored again."""
+    candidates = ensemble(scored, cfg)
+    if staged:
+        candidates = stage(candidates, "candidates")
+    return anomaly_records(apply_cooldown(candidates, cfg))
 
 
 def why_for(
@@ -122,7 +127,7 @@ def detect_anomalies(
 ) -> Detection:
     """The whole pipeline.
 
-    ``staged`` writes two compact tables (non-empty windows; surfaced anomalies), so raw
+    ``staged`` writes compact tables (non-empty windows, candidates, anomalies), so raw
     events are read once for metrics and once, pruned to anomalous time buckets, for
     dimensions. Unstaged, everything is one lazy plan.
     """
@@ -130,7 +135,7 @@ def detect_anomalies(
     if staged:
         windows = stage(windows, "windows")
     scored = score_windows(windows, cfg, flush_to)
-    surfaced = surfaced_windows(scored, cfg)
+    surfaced = surfaced_windows(scored, cfg, staged)
     if staged:
         surfaced = stage(surfaced, "surfaced")
     ranked = why_for(surfaced, events, cfg, series_cols, prune=staged)
