@@ -17,6 +17,9 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 
+TYPES = {"string": "varchar", "int": "integer"}
+
+
 def normal(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9) + 0.0
@@ -41,6 +44,11 @@ def compare(spark, sf: str, name: str, con) -> str:
     rel = con.execute(ORACLE[name])
     want = rows_of([d[0] for d in rel.description], rel.fetchall())
     times = f"spark {t1 - t0:.1f}s sql {time.time() - t1:.1f}s"
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for column in rel.description:
+        kind, mine = str(column[1]).lower(), spark_types.get(column[0])
+        if TYPES.get(mine, mine) != kind:
+            times += f" [{column[0]}: {mine} vs {kind}]"
     if got == want:
         return f"ok    {name}: {len(got[1])} rows, {times}"
     if got[0] != want[0]:

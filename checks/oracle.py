@@ -127,6 +127,95 @@ e AS (
 )"""
 
 
+FEATURES7 = ("count / {t}::DOUBLE", "count::DOUBLE", "distinct_subjects::DOUBLE", "distinct_actors::DOUBLE",
+             "CASE WHEN count > 0 THEN bot_count / count::DOUBLE ELSE 0.0::DOUBLE END",
+             "bytes_changed / {t}::DOUBLE", "new_count / {t}::DOUBLE")
+
+
+def hst(tick: int, trees: int = 25, height: int = 8, window: int = 120, seed: int = 7,
+        warmup: int = 50, thr: float = 0.85) -> str:
+    """Half-space trees: draw the trees, walk every window down every tree, score by block."""
+    feats = [f.format(t=tick) for f in FEATURES7]
+    running = "PARTITION BY series ORDER BY window_id ROWS UNBOUNDED PRECEDING"
+    scaled = ", ".join(f"CASE WHEN h{i} > l{i} THEN (f{i} - l{i}) / (h{i} - l{i}) ELSE 0.0::DOUBLE END" for i in range(7))
+    return f"""
+dr(tree, i, x) AS (
+  SELECT tree, 1, (1 + ({seed} * 7919 + tree * 104729 + 12345) % 2147483646) * 48271 % 2147483647
+  FROM (SELECT unnest(range({trees})) AS tree)
+  UNION ALL SELECT tree, i + 1, x * 48271 % 2147483647 FROM dr WHERE i < {7 + 2 ** height - 1}
+),
+us AS (SELECT tree, list(x / 2147483647.0::DOUBLE ORDER BY i) AS u FROM dr GROUP BY 1),
+nd(tree, node, q, cut, lo, hi) AS (
+  SELECT tree, node, q, (lo[q] + hi[q]) / 2, lo, hi FROM (
+    SELECT tree, 1 AS node, CAST(floor(u[8] * 7) AS BIGINT) + 1 AS q,
+           list_transform(u[1:7], lambda s: s - 2 * greatest(s, 1 - s)) AS lo,
+           list_transform(u[1:7], lambda s: s + 2 * greatest(s, 1 - s)) AS hi FROM us)
+  UNION ALL
+  SELECT tree, node, q, (lo[q] + hi[q]) / 2, lo, hi FROM (
+    SELECT nd.tree, 2 * nd.node + side AS node, CAST(floor(u[7 + 2 * nd.node + side] * 7) AS BIGINT) + 1 AS q,
+           list_transform(range(1, 8), lambda i: CASE WHEN side = 1 AND i = nd.q THEN nd.cut ELSE nd.lo[i] END) AS lo,
+           list_transform(range(1, 8), lambda i: CASE WHEN side = 0 AND i = nd.q THEN nd.cut ELSE nd.hi[i] END) AS hi
+    FROM nd JOIN us ON us.tree = nd.tree CROSS JOIN (SELECT unnest([0, 1]) AS side) WHERE nd.node < {2 ** (height - 1)})
+),
+ft AS (SELECT series, window_id, window_id - lo AS rn, {", ".join(f"{f} AS f{i}" for i, f in enumerate(feats))} FROM dense),
+fm AS (SELECT *, {", ".join(f"min(f{i}) OVER r AS l{i}, max(f{i}) OVER r AS h{i}" for i in range(7))}
+       FROM ft WINDOW r AS ({running})),
+fx AS (SELECT series, window_id, rn, rn // {window} AS blk, [{scaled}] AS x, f0 FROM fm),
+pth(series, window_id, blk, tree, depth, node, x) AS (
+  SELECT series, window_id, blk, tree, 0, 1, x FROM fx CROSS JOIN (SELECT unnest(range({trees})) AS tree)
+  UNION ALL
+  SELECT p.series, p.window_id, p.blk, p.tree, p.depth + 1,
+         2 * p.node + CASE WHEN p.x[nd.q] >= nd.cut THEN 1 ELSE 0 END, p.x
+  FROM pth p JOIN nd ON nd.tree = p.tree AND nd.node = p.node WHERE p.depth < {height}
+),
+ms AS (SELECT series, blk, tree, node, count(*) AS m FROM pth GROUP BY ALL),
+pm AS (
+  SELECT p.series, p.window_id, p.depth, coalesce(m, 0) AS m,
+         min(coalesce(m, 0)) OVER (PARTITION BY p.series, p.window_id, p.tree ORDER BY p.depth
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above
+  FROM pth p LEFT JOIN ms ON ms.series = p.series AND ms.blk = p.blk - 1 AND ms.tree = p.tree AND ms.node = p.node
+  WHERE p.blk > 0
+),
+hs AS (SELECT series, window_id, 1.0::DOUBLE - sum(m * 2 ** depth) FILTER (above IS NULL OR above >= {0.1 * window})
+              / ({trees} * {window} * {2 ** (height + 1) - 1})::DOUBLE AS raw FROM pm GROUP BY ALL),
+h AS (
+  SELECT fx.series, fx.window_id, f0 AS x, fx.rn + 1 > {warmup} AND coalesce(raw, 0.0) >= {thr} AS h_flag,
+         CASE WHEN fx.rn + 1 > {warmup} THEN least(1.0::DOUBLE, greatest(0.0::DOUBLE, coalesce(raw, 0.0::DOUBLE))) ELSE 0.0::DOUBLE END AS h_score
+  FROM fx LEFT JOIN hs ON hs.series = fx.series AND hs.window_id = fx.window_id
+)"""
+
+
+def ensemble3(tick: int) -> str:
+    """All three detectors; the trees expect the value itself."""
+    def fired(p: str, x: str) -> str:
+        return f"CASE WHEN {p}_flag THEN {x} ELSE 0.0::DOUBLE END"
+
+    total = " + ".join(fired(p, f"{p}_score") for p in "zeh")
+    return f"""
+s AS (
+  SELECT z.series, z.window_id, z.x, z_flag, e_flag, h_flag,
+         z_flag::INT + e_flag::INT + h_flag::INT AS agreement, {total} AS fired_sum,
+         greatest({", ".join(fired(p, f"{p}_score") for p in "zeh")}) AS max_fired,
+         {fired("z", "z_expected")} + {fired("e", "e_expected")} + {fired("h", "z.x")} AS exp_sum
+  FROM z JOIN e ON z.series = e.series AND z.window_id = e.window_id
+  JOIN h ON z.series = h.series AND z.window_id = h.window_id
+),
+c0 AS (SELECT *, least(1.0::DOUBLE, fired_sum / 3) AS conf, exp_sum / agreement AS expected FROM s WHERE agreement > 0),
+c1 AS (
+  SELECT *, CASE WHEN max_fired >= 0.92 AND agreement >= 2 THEN least(1.0::DOUBLE, conf + 0.05::DOUBLE)
+                 ELSE conf END AS raw_score
+  FROM c0 WHERE conf >= 0.5 OR max_fired >= 0.92
+),
+cand AS (
+  SELECT series, window_id, window_id * {tick}.0::DOUBLE + {tick}.0::DOUBLE AS window_end, agreement,
+         CASE WHEN raw_score >= 0.85 OR (agreement = 3 AND raw_score >= 0.65) THEN 'critical'
+              WHEN raw_score >= 0.65 OR agreement = 3 THEN 'warn' ELSE 'info' END AS severity,
+         {r("raw_score", 4, "score")}, x AS value, expected,
+         row_number() OVER (PARTITION BY series ORDER BY window_id) AS rn
+  FROM c1
+)"""
+
+
 def ensemble(tick: int) -> str:
     """Two live detectors."""
     return f"""
@@ -319,7 +408,7 @@ sc AS (
          / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avg_len))), 9) AS score
   FROM tf JOIN qt USING (term) JOIN df USING (term), n GROUP BY ALL
 )
-SELECT query_id, doc_id, score, rank FROM (
+SELECT query_id, doc_id, score, rank::INT AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
 WHERE rank <= 5
 """
@@ -380,11 +469,20 @@ SELECT window_id, name, {r("v", 6, "v")} FROM (
          unnest([count / 600::DOUBLE, count::DOUBLE, distinct_subjects::DOUBLE, distinct_actors::DOUBLE,
                  bot_count / count::DOUBLE, bytes_changed / 600::DOUBLE, new_count / 600::DOUBLE]) AS v FROM w)""",
     "dim_counts": f"WITH {EV}, {sightings(GLOBAL, 3600)} SELECT series, window_id, dim, value, cnt FROM dc",
-    "dim_topk": f"WITH {EV}, {sightings(GLOBAL, 3600, 3)} SELECT series, window_id, dim, value, cnt, rk FROM tk",
+    "dim_topk": f"WITH {EV}, {sightings(GLOBAL, 3600, 3)} SELECT series, window_id, dim, value, cnt, rk::INT AS rk FROM tk",
     "zscore": one_detector("z", zscore("(count / 600.0::DOUBLE)"), GLOBAL, 600),
     "zscore_both": one_detector("z", zscore("(bytes_changed / 3600.0::DOUBLE)", direction="both"), TYPE, 3600),
     "ewma": one_detector("e", ewma("(count / 600.0::DOUBLE)"), GLOBAL, 600),
     "ewma_down": one_detector("e", ewma("(count / 3600.0::DOUBLE)", direction="down"), TYPE, 3600),
+    "hst": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 3600)}, {dense()}, {hst(3600)}
+SELECT series, window_id, h_flag AS flag, {r("h_score", 6, "score")}, {r("x", 9, "value")} FROM h""",
+    "anomalies_three_detectors": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 600)}, {dense()},
+{zscore("(count / 600.0::DOUBLE)")}, {ewma("(count / 600.0::DOUBLE)")}, {hst(600)}, {ensemble3(600)},
+{cooldown(2_400.0)}, {sightings(GLOBAL, 600)}, {BASE}, {WHY},
+n AS (SELECT series, window_id, count(*) AS n_why FROM why GROUP BY ALL)
+SELECT id, ts, surf.series, 'rate' AS metric, severity, score, agreement, 3::INT AS n_detectors,
+       coalesce(n_why, 0)::INT AS n_why
+FROM surf LEFT JOIN n ON n.series = surf.series AND n.window_id = surf.window_id""",
     "detector_results": f"""{BY_TYPE_SCORES}
 SELECT series, window_id, 'zscore' AS name, z_flag AS flag, {r("z_score", 6, "score")}, false AS unavailable FROM s
 UNION ALL SELECT series, window_id, 'ewma', e_flag, {r("e_score", 6)}, false FROM s
@@ -394,7 +492,7 @@ UNION ALL SELECT series, window_id, 'hst', false, 0.0::DOUBLE, true FROM s""",
     "anomalies": f"{GLOBAL_SURF} SELECT {CAND_VIEW}, id, ts FROM surf",
     "baseline": f"""WITH RECURSIVE {EV}, {sightings(TYPE, 3600)}, {BASE}
 SELECT series, window_id, dim, value, cnt, {r("baseline", 6, "baseline")} FROM lv""",
-    "why": f"WITH RECURSIVE {HOUR_WHY} SELECT * FROM why",
+    "why": f"WITH RECURSIVE {HOUR_WHY} SELECT * REPLACE (rank::INT AS rank) FROM why",
     "anomalies_explained": f"""WITH RECURSIVE {HOUR_WHY},
 n AS (SELECT series, window_id, count(*)::INT AS n_why FROM why GROUP BY ALL)
 SELECT id, surf.series, surf.window_id, ts, 'rate' AS metric, severity, score, agreement,

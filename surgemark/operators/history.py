@@ -134,7 +134,7 @@ def snapshot(metrics: DataFrame, anomalies: DataFrame, cfg: EngineConfig) -> Dat
     packed_a = a.agg(F.reverse(F.array_sort(F.collect_list(
         F.struct("ts", *[c for c in a.columns if c not in ("ts", "available")])))).alias("anomalies"))
     return packed_m.withColumn("anomalies", packed_a.scalar()).withColumn(
-        "tick_seconds", F.lit(cfg.tick_seconds)).withColumn("source", F.lit(cfg.source))
+        "tick_seconds", F.lit(float(cfg.tick_seconds))).withColumn("source", F.lit(cfg.source))
 
 
 # -- incidents -------------------------------------------------------------------

@@ -53,7 +53,7 @@ def fold_late(placed: DataFrame, chunk_rows: int = SEQ_CHUNK) -> DataFrame:
 # -- metrics -------------------------------------------------------------------
 
 
-def _derived(cfg: EngineConfig) -> list[Column]:
+def derived_columns(cfg: EngineConfig) -> list[Column]:
     tick = F.lit(float(cfg.tick_seconds))
     n = F.col("count")
     start = F.col("window_id") * tick
@@ -69,7 +69,7 @@ def _derived(cfg: EngineConfig) -> list[Column]:
 
 def with_ratios(counts: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Derive rates, ratios and window bounds from the integer counters."""
-    return counts.select("*", *_derived(cfg)).select(*WINDOW_COLUMNS)
+    return counts.select("*", *derived_columns(cfg)).select(*WINDOW_COLUMNS)
 
 
 def count_windows(placed: DataFrame, approx_distinct: bool = False) -> DataFrame:
@@ -198,7 +198,7 @@ def dense_slices(
         *[F.when(real, F.col(c)).otherwise(F.lit(0).cast("long")).alias(c) for c in COUNTS],
     )
     return counts.select(
-        "*", *_derived(cfg), (wid >= F.col("slice") * size).alias("in_slice")
+        "*", *derived_columns(cfg), (wid >= F.col("slice") * size).alias("in_slice")
     )
 
 
