@@ -365,7 +365,7 @@ def last_windows(spark, sf):
 
 def snapshot(spark, sf):
     s = scored(spark, sf, HOURLY, BY_TYPE)
-    shot = history.snapshot(s.drop("metric"), surfaced_by_type(spark, sf), HOURLY)
+    shot = history.snapshot(s.drop("metric", "fired"), surfaced_by_type(spark, sf), HOURLY)
     return shot.select(
         F.size("metrics").alias("n_metrics"), F.size("anomalies").alias("n_anomalies"),
         F.element_at("metrics", -1)["window_end"].alias("last_end"), "tick_seconds")

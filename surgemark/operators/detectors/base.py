@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import clamp01, direction_ok, logistic
-from surgemark.schemas import DETAIL, RESULT
+from surgemark.schemas import DETAIL
 
 FLAT_STD = 1e-9
 ROUNDING = 1e-12        # relative difference below which two doubles count as equal
@@ -51,7 +51,7 @@ def result_struct(
         F.lit(name).alias("name"), F.coalesce(flag, F.lit(False)).alias("flag"),
         clamp01(score).alias("score"), value.cast("double").alias("value"),
         expected.cast("double").alias("expected"), F.struct(*parts).alias("detail"),
-    ).cast(RESULT)
+    )
 
 
 def unavailable_struct(name: str, value: Column) -> Column:
@@ -67,23 +67,34 @@ def departure(x: Column, mean: Column) -> Column:
 
 
 def sigma_verdict(
-    delta: Column, std: Column, warming: Column, threshold: float, direction: str
-) -> tuple[Column, Column, Column, Column]:
-    """(flag, score, z, flat) shared by the two scalar detectors.
+    frame: DataFrame, prefix: str, mean: Column, std: Column, x: Column, warming: Column,
+    threshold: float, direction: str,
+) -> DataFrame:
+    """Add ``<prefix>flag``, ``score``, ``z`` and ``flat``: shared by the scalar detectors.
 
     A flat history cannot scale a departure, so any departure in the watched direction
     gets a fixed score and a reported z of 0. Otherwise the score is a logistic centred
     on the threshold, given to every move in the watched direction, flagged or not.
+    Intermediate columns keep each term computed once.
     """
-    ok = direction_ok(delta, direction)
-    flat = std < FLAT_STD
-    flat_hit = (F.abs(delta) > FLAT_STD) & ok
-    z = delta / std
-    flag = F.when(warming, F.lit(False)).when(flat, flat_hit).otherwise(ok & (F.abs(z) >= threshold))
-    score = (
-        F.when(warming, F.lit(0.0))
-        .when(flat, F.when(flat_hit, F.lit(FLAT_SCORE)).otherwise(F.lit(0.0)))
-        .when(ok, logistic(F.abs(z) - F.lit(threshold)))
-        .otherwise(F.lit(0.0))
+    delta, z, flat, ok, hit = (F.col(f"{prefix}{n}") for n in ("delta", "z", "flat", "ok", "hit"))
+    return (
+        frame.withColumn(f"{prefix}delta", departure(x, mean))
+        .withColumns({
+            f"{prefix}flat": std < FLAT_STD,
+            f"{prefix}z": F.when(std >= FLAT_STD, F.col(f"{prefix}delta") / std),
+            f"{prefix}ok": direction_ok(delta, direction),
+        })
+        .withColumns({
+            f"{prefix}hit": (F.abs(delta) > FLAT_STD) & ok,
+            f"{prefix}steep": logistic(F.abs(z) - F.lit(threshold)),
+        })
+        .withColumns({
+            f"{prefix}flag": F.coalesce(
+                ~warming & F.when(flat, hit).otherwise(ok & (F.abs(z) >= threshold)), F.lit(False)),
+            f"{prefix}score": F.when(warming, F.lit(0.0))
+            .when(flat, F.when(hit, F.lit(FLAT_SCORE)).otherwise(F.lit(0.0)))
+            .when(ok, F.col(f"{prefix}steep")).otherwise(F.lit(0.0)),
+        })
+        .drop(*[f"{prefix}{n}" for n in ("delta", "ok", "hit", "steep")])
     )
-    return flag, score, z, flat

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
 from surgemark.operators.detectors.base import (
-    Detector, departure, result_struct, row_number_in_series, sigma_verdict, slice_line,
+    Detector, result_struct, row_number_in_series, sigma_verdict, slice_line,
 )
 
 
@@ -47,15 +47,15 @@ class EwmaChart(Detector):
         )
         first = row_number_in_series() == 0
         warming = first | (row_number_in_series() + 1 <= cfg.ewma_warmup)
-        mean, std = F.col("_em"), F.col("_es")
-        flag, score, z, flat = sigma_verdict(
-            departure(x, mean), std, warming, cfg.ewma_threshold, cfg.direction
-        )
+        mean, std, flat = F.col("_em"), F.col("_es"), F.col("_e_flat")
+        frame = sigma_verdict(
+            frame, "_e_", mean, std, x, warming, cfg.ewma_threshold, cfg.direction)
         result = result_struct(
-            self.name, flag, score, x, F.when(first, x).otherwise(mean),
-            z=F.when(warming, F.lit(None)).when(flat, F.lit(0.0)).otherwise(half_up(z, 3)),
+            self.name, F.col("_e_flag"), F.col("_e_score"), x, F.when(first, x).otherwise(mean),
+            z=F.when(warming, F.lit(None)).when(flat, F.lit(0.0)).otherwise(half_up(F.col("_e_z"), 3)),
             std=F.when(warming | flat, F.lit(None)).otherwise(half_up(std, 4)),
             mean=F.when(first, F.lit(None)).otherwise(half_up(mean, 4)),
             warmup=F.when(warming, F.lit(True)),
         )
-        return frame.withColumn(self.name, result).drop("_ei", "_ew", "_em", "_ed", "_eq", "_es")
+        return frame.withColumn(self.name, result).drop(
+            "_ei", "_ew", "_em", "_ed", "_eq", "_es", "_e_flag", "_e_score", "_e_z", "_e_flat")

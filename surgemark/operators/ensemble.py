@@ -50,8 +50,12 @@ def ensemble(frame: DataFrame, cfg: EngineConfig) -> DataFrame:
     """
     live = F.filter("detectors", lambda d: ~F.coalesce(d["detail"]["unavailable"], F.lit(False)))
     hits = F.filter(live, lambda d: d["flag"])
+    quiet_dropped = (
+        frame.where("fired").drop("fired") if "fired" in frame.columns
+        else frame.where(F.exists("detectors", lambda d: d["flag"]))
+    )
     scored = (
-        frame.where(F.exists("detectors", lambda d: d["flag"]))
+        quiet_dropped
         .withColumn("_live", F.size(live))
         .withColumn("_hits", hits)
         .where((F.col("_live") > 0) & (F.size("_hits") > 0))

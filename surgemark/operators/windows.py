@@ -220,10 +220,12 @@ def dim_counts(
 ) -> DataFrame:
     """Events per (series, window, dim, value) in one pass over all tracked dims."""
     placed = place_events(events, cfg, series_cols) if placed is None else placed
-    tracked = list(cfg.track_dims)
-    pairs = F.map_filter("dims", lambda k, v: k.isin(tracked) & v.isNotNull() & (v != ""))
+    pairs = F.array(*[
+        F.struct(F.lit(d).alias("dim"), F.col("dims")[d].alias("value")) for d in cfg.track_dims
+    ])
     return (
-        placed.select("series", "window_id", "seq", F.explode(pairs).alias("dim", "value"))
+        placed.select("series", "window_id", "seq", F.inline(pairs))
+        .where("value <> ''")
         .groupBy("series", "window_id", "dim", "value")
         .agg(F.count(F.lit(1)).alias("cnt"), F.min("seq").alias("first_seq"))
     )

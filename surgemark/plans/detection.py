@@ -62,9 +62,12 @@ def score_windows(
     results = [
         F.col(n) if n in names else unavailable_struct(n, value) for n in cfg.detectors
     ]
+    fired = F.lit(False)
+    for n in names:
+        fired = fired | F.col(n)["flag"]
     return frame.where("in_slice").select(
         *WINDOW_COLUMNS, F.lit(cfg.primary_metric).alias("metric"), value.alias("value"),
-        F.array(*results).alias("detectors"),
+        F.array(*results).alias("detectors"), fired.alias("fired"),
     )
 
 
