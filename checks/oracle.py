@@ -602,6 +602,19 @@ SELECT w.series, {compact("(count / 3600.0::DOUBLE)")} AS events_per_sec,
        CAST(distinct_subjects AS VARCHAR) AS active_subjects, CAST(distinct_actors AS VARCHAR) AS active_actors,
        {fixed("bot_count / count::DOUBLE * 100", 0)} || '%' AS bot_share
 FROM w JOIN m ON m.series = w.series AND m.window_id = w.window_id""",
+    "stream_windows": f"""{W3600}, {sightings(TYPE, 3600)[1:]},
+t AS (SELECT series, window_id, count(*)::INT AS n_dims, arg_min(value, pos * 100 + rk) AS top_domain,
+             arg_min(cnt, pos * 100 + rk) AS top_cnt FROM tk GROUP BY ALL)
+SELECT w.*, n_dims, top_domain, top_cnt FROM w
+JOIN t ON t.series = w.series AND t.window_id = w.window_id
+WHERE (w.window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev)""",
+    "stream_scores": f"""{BY_TYPE_SCORES},
+closed AS (SELECT series, max(window_id) AS last FROM w
+           WHERE (window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev) GROUP BY 1)
+SELECT s.series, window_id, 'zscore' AS name, z_flag AS flag, {r("z_score", 6, "score")}
+FROM s JOIN closed c ON c.series = s.series AND window_id <= last
+UNION ALL SELECT s.series, window_id, 'ewma', e_flag, {r("e_score", 6)}
+FROM s JOIN closed c ON c.series = s.series AND window_id <= last""",
     "bm25": BM25,
     "keyword_category": category_sql(),
 }

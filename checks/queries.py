@@ -6,6 +6,7 @@ All queries read whole tables. Time series use 600 s windows over one global ser
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,6 +21,7 @@ from surgemark.plans.detection import (
 )
 from surgemark.plans.staging import stage, stage_root
 from surgemark.sources import capture, jsonl, recentchange, tables
+from surgemark.streaming import closing, run, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,21 +125,21 @@ def sse_capture(spark, sf):
         F.when(e % 10 == 9, F.lit("event: ping\n")).otherwise(F.concat(
             F.lit("data: "), e.cast("string"), F.lit("\ndata:"), F.col("event_type"), F.lit("\n"))),
     )
-    path = f"{stage_root(spark)}/capture-{spark.sparkContext.applicationId}-{id(frame)}"
+    path = f"{stage_root(spark)}/capture-{uuid.uuid4().hex}"
     (
         spark.read.parquet(f"{sf}/events.parquet")
         .select(F.floor(e / 2000).alias("part"), e, frame.alias("value"))
         .repartition("part").sortWithinPartitions("part", "event_id")
         .select("part", "value")
-        .write.mode("overwrite").partitionBy("part").text(path)
+        .write.partitionBy("part").text(path)
     )
     return capture.read_capture(spark, path).select("event_id", "data")
 
 
 def jsonl_replay(spark, sf):
     """Record, read back, normalised columns unchanged."""
-    path = f"{stage_root(spark)}/recording-{spark.sparkContext.applicationId}-{id(sf)}-{abs(hash(sf))}"
-    jsonl.recordable(events(spark, sf)).write.mode("overwrite").json(path)
+    path = f"{stage_root(spark)}/recording-{uuid.uuid4().hex}"
+    jsonl.record_events(events(spark, sf), path)
     return flat_events(jsonl.read_recording(spark, path))
 
 
@@ -543,6 +545,45 @@ def keyword_category(spark, sf):
     return text.keyword_category(docs).select("doc_id", "category", "hits")
 
 
+# -- streaming ------------------------------------------------------------------------------------
+
+
+def event_stream(spark, sf) -> DataFrame:
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    return tables.normalise_events(
+        spark.readStream.schema(raw.schema).parquet(f"{sf}/events*.parquet"))
+
+
+def run_to_table(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over everything there is and return what it wrote."""
+    spark = stream.sparkSession
+    root = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    query = (
+        stream.writeStream.format("parquet").outputMode("append")
+        .option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+def stream_windows(spark, sf):
+    """Windows closed by the watermark, with ranked dimension values, per event type."""
+    closed = closing.closed_windows(event_stream(spark, sf), HOURLY, BY_TYPE)
+    return run_to_table(closed, "closed").select(
+        "series", "window_id", *win.COUNTS, F.size("dims").alias("n_dims"),
+        F.get("dims", 0)["value"].alias("top_domain"), F.get("dims", 0)["cnt"].alias("top_cnt"))
+
+
+def stream_scores(spark, sf):
+    """Gap-free windows scored by the per-series streaming state."""
+    run.configure(spark)
+    closed = closing.closed_windows(event_stream(spark, sf), HOURLY, BY_TYPE)
+    rows = run_to_table(scoring.score_stream(closed, HOURLY), "scores")
+    return rows.select("series", "window_id", F.inline("detectors")).select(
+        "series", "window_id", "name", "flag", half_up(F.col("score"), 6).alias("score"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -562,5 +603,6 @@ QUERIES: dict[str, Query] = {
         health_duration_p95,
         metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
         bm25, keyword_category,
+        stream_windows, stream_scores,
     )
 }

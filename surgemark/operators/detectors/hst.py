@@ -8,8 +8,6 @@ the extremes before a slice come from per-slice extremes (see ``prefix``).
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -26,7 +24,6 @@ SIZE_LIMIT = 0.1
 RAW = "_hst_raw"
 
 
-@lru_cache(maxsize=16)
 def split_table(trees: int, height: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(dimension, threshold) of every inner node, heap order, shape (trees, 2^height - 1).
 
@@ -117,14 +114,14 @@ class HalfSpaceTrees(Detector):
         carries = chunk_carries(own, ["series"], "_part", specs).withColumnRenamed("_part", "slice")
 
         schema = T.StructType(frame.schema.fields + [T.StructField(RAW, T.DoubleType())])
-        trees, height, window, seed = cfg.hst_trees, cfg.hst_height, cfg.hst_window, cfg.hst_seed
+        height, window = cfg.hst_height, cfg.hst_window
+        dims, cuts = split_table(cfg.hst_trees, height, cfg.hst_seed)
         names = list(FEATURES)
 
         def score(rows: pd.DataFrame, carry: pd.DataFrame) -> pd.DataFrame:
             if rows.empty:
                 return pd.DataFrame(columns=[f.name for f in schema.fields])
             rows = rows.sort_values("window_id", ignore_index=True)
-            dims, cuts = split_table(trees, height, seed)
             low = np.full(len(names), np.inf)
             high = np.full(len(names), -np.inf)
             if len(carry):

@@ -109,6 +109,7 @@ class WindowScorer(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.trees = split_table(self.cfg.hst_trees, self.cfg.hst_height, self.cfg.hst_seed)
         self.core = handle.getValueState("core", STATE)
         self.levels = handle.getMapState(
             "levels", "dim string, value string", "level double, last bigint")
@@ -143,7 +144,7 @@ class WindowScorer(StatefulProcessor):
     def _trees(self, s: dict, features: np.ndarray) -> list[float]:
         """Raw tree scores of the next rows; block masses roll over inside ``s``."""
         cfg = self.cfg
-        dims, cuts = split_table(cfg.hst_trees, cfg.hst_height, cfg.hst_seed)
+        dims, cuts = self.trees
         lo = np.minimum(np.minimum.accumulate(features, axis=0), np.array(s["low"]))
         hi = np.maximum(np.maximum.accumulate(features, axis=0), np.array(s["high"]))
         s["low"], s["high"] = lo[-1].tolist(), hi[-1].tolist()
