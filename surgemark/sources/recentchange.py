@@ -11,34 +11,31 @@ SOURCE = "recentchange"
 UNKNOWN = "?"
 
 
-def _text(path: str) -> Column:
-    return F.try_variant_get("_v", path, "string")
-
-
-def _type(path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get("_v", path, "variant"))
-
-
-def _numeric(path: str) -> Column:
-    """JSON numbers only; numeric strings do not count."""
-    return _type(path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-
-
-def _truthy_text(path: str) -> Column:
-    """Text of a value, NULL when it is missing, null, empty, zero or false."""
-    t = _text(path)
-    kind = _type(path)
-    falsy = (
-        (kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)") & (t.try_cast("double") == 0))
-        | ((kind == "BOOLEAN") & (t == "false"))
-        | t.isin("", "[]", "{}")
-    )
-    return F.when(~falsy, t)
+# The payload fields that events are made of, and the texts of values that
+# count as absent unless they are strings.
+PAYLOAD = (
+    "server_name string, meta struct<id: string, domain: string>, id string, type string, "
+    "user string, title string, bot string, timestamp string, namespace variant, "
+    "length struct<new: variant, old: string>"
+)
+FALSY = ("false", "0", "0.0", "-0.0", "[]", "{}")
+_NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+
+
+def _truthy(name: str) -> Column:
+    """Text of a value, NULL when it is missing, null, empty, zero or false.
+
+    Only a text that looks like a zero or a false makes the row be parsed again, to see
+    whether it was a string.
+    """
+    text = F.col(f"_p.{name}")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("_raw"), f"$.{name}", "variant"))
+    return F.when(text.isin(*FALSY), F.when(kind == "STRING", text)).otherwise(blank_to_null(text))
 
 
-def _whole(path: str) -> Column:
+def _whole(text: Column) -> Column:
     """Number truncated toward zero."""
-    return F.try_variant_get("_v", path, "double").try_cast("bigint")
+    return text.try_cast("double").try_cast("bigint")
 
 
 def _seconds_text(seconds: Column) -> Column:
@@ -58,35 +55,41 @@ def normalise_recentchange(
     passing it as a column keeps re-runs identical.
     """
     now = epoch(F.current_timestamp()) if ingest_time is None else ingest_time
-    stated = F.try_variant_get("_v", "$.timestamp", "double")
-    stated = F.coalesce(stated, _text("$.timestamp").try_cast("double"))
+    stated = F.col("_p.timestamp").try_cast("double")
     stated = F.when(F.isnan(stated) | (F.abs(stated) > 1e11), F.lit(None)).otherwise(stated)
+    new, old, space = F.col("_p.length.new"), F.col("_p.length.old"), F.col("_p.namespace")
     delta = F.when(
-        _numeric("$.length.new"),
-        _whole("$.length.new") - F.coalesce(_whole("$.length.old"), F.lit(0)),
+        F.schema_of_variant(new).rlike(_NUMBER),
+        _whole(new.try_cast("string")) - F.coalesce(_whole(old), F.lit(0)),
     ).otherwise(F.lit(0).cast("bigint"))
+    space_text = space.try_cast("string")
     namespace = (
-        F.when(F.try_variant_get("_v", "$.namespace", "variant").isNull(), F.lit(UNKNOWN))
-        .when(F.is_variant_null(F.try_variant_get("_v", "$.namespace", "variant")), F.lit("None"))
-        .when(_type("$.namespace") == "BOOLEAN", F.initcap(_text("$.namespace")))
-        .otherwise(_text("$.namespace"))
+        F.when(space.isNull(), F.lit(UNKNOWN))
+        .when(F.is_variant_null(space), F.lit("None"))
+        .when(
+            space_text.isin("true", "false") & (F.schema_of_variant(space) == "BOOLEAN"),
+            F.initcap(space_text),
+        )
+        .otherwise(space_text)
     )
+    order = F.monotonically_increasing_id() if seq is None else seq
     objects = (
-        raw.withColumn("_v", F.try_parse_json(F.col(payload)))
-        .where(F.schema_of_variant("_v").startswith("OBJECT"))
+        raw.select(F.col(payload).alias("_raw"), now.alias("_now"), order.alias("seq"))
+        .where(F.schema_of_variant(F.try_parse_json("_raw")).startswith("OBJECT"))
+        .withColumn("_p", F.from_json("_raw", PAYLOAD))
     )
     typed = objects.select(
-        F.coalesce(_truthy_text("$.server_name"), _truthy_text("$.meta.domain"), F.lit(UNKNOWN))
+        F.coalesce(_truthy("server_name"), _truthy("meta.domain"), F.lit(UNKNOWN))
         .alias("_domain"),
-        F.coalesce(stated, now).alias("_t"),
-        F.coalesce(_truthy_text("$.meta.id"), _truthy_text("$.id")).alias("_id"),
-        F.coalesce(_truthy_text("$.type"), F.lit("edit")).alias("kind"),
-        F.coalesce(_truthy_text("$.user"), F.lit(UNKNOWN)).alias("actor"),
-        F.coalesce(_truthy_text("$.title"), F.lit(UNKNOWN)).alias("subject"),
-        _truthy_text("$.bot").isNotNull().alias("bot"),
+        F.coalesce(stated, F.col("_now")).alias("_t"),
+        F.coalesce(_truthy("meta.id"), _truthy("id")).alias("_id"),
+        F.coalesce(_truthy("type"), F.lit("edit")).alias("kind"),
+        F.coalesce(_truthy("user"), F.lit(UNKNOWN)).alias("actor"),
+        F.coalesce(_truthy("title"), F.lit(UNKNOWN)).alias("subject"),
+        _truthy("bot").isNotNull().alias("bot"),
         delta.alias("bytes_delta"),
         namespace.alias("_ns"),
-        (F.monotonically_increasing_id() if seq is None else seq).alias("seq"),
+        "seq",
     )
     return typed.select(
         from_epoch(F.col("_t")).alias("ts"),
