@@ -4,24 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgemark.llm import exact_dedup, fingerprints
+from surgemark.llm import bpe, exact_dedup, fingerprints, token_files
 from surgemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    files = token_files.write_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_files(files)
+
+
 def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edit_fingerprints(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
 }
 
