@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgemark.llm import bpe, exact_dedup, fingerprints, token_files
+from surgemark.llm import bpe, exact_dedup, fingerprints, simhash, token_files
 from surgemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -31,6 +35,7 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_token_files": op9_token_files,
