@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgemark.llm import bpe, exact_dedup, fingerprints, simhash, token_files
+from surgemark.llm import bpe, exact_dedup, fingerprints, repeats, simhash, token_files
 from surgemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op8_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.repeat_report(table(spark, sf, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     files = token_files.write_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read_files(files)
@@ -38,6 +42,7 @@ QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_repeats": op8_repeats,
     "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
 }
