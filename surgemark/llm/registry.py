@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgemark.llm import bpe, exact_dedup, fingerprints, repeats, simhash, token_files
+from surgemark.llm import bpe, exact_dedup, fingerprints, quality, repeats, simhash, token_files, toxicity
 from surgemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -21,6 +25,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
@@ -39,8 +47,10 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_repeats": op8_repeats,
     "op9_token_files": op9_token_files,
