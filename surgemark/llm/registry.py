@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgemark.llm import bpe, exact_dedup, fingerprints, quality, repeats, simhash, token_files, toxicity
+from surgemark.llm import (
+    bpe, exact_dedup, fingerprints, licenses, packing, quality, repeats, simhash, token_files, toxicity,
+)
 from surgemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -33,6 +39,10 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf, "documents"))
+
+
 def op8_repeats(spark: SparkSession, sf: str) -> DataFrame:
     return repeats.repeat_report(table(spark, sf, "documents"))
 
@@ -50,8 +60,10 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_packing": op4_packing,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_licenses": op7_licenses,
     "op8_repeats": op8_repeats,
     "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
