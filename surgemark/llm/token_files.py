@@ -3,9 +3,10 @@
 The documents are dealt out in ranges of doc_id, each range is sorted, and the task of a
 range writes one file in the shared folder while it encodes: the ids of its documents one
 after the other, each ended by the end id, cut into sequences of ``SEQUENCE`` ids. A record
-batch holds two fixed-size lists for each sequence, ``ids`` (uint32) and ``mask`` (uint8; 0
-marks the padding of the last sequence). A second file lists the documents: doc_id, the
-place of their first id in the file and their number of ids.
+batch holds two fixed-size lists for each sequence, ``ids`` (in the narrowest unsigned type
+that the vocabulary fits) and ``mask`` (bits; false marks the padding of the last sequence).
+A second file lists the documents: doc_id, the place of their first id in the file and their
+number of ids.
 
 Both are in Arrow's file format, so sequence k lies in batch k // BATCH at row k % BATCH
 and can be mapped into memory and read without copying or decoding. A file's name carries
@@ -31,7 +32,7 @@ from surgemark.plans.staging import stage, stage_path
 
 SEQUENCE = 2048               # ids in a sequence
 BATCH = 256                   # sequences in a record batch
-PIECES_KEPT = 400_000         # parts of texts whose ids a task remembers
+PIECES_KEPT = 1_000_000       # parts of texts whose ids a task remembers
 
 
 class PieceEncoder:
@@ -48,24 +49,48 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        size = max(self.library.get_vocab().values()) + 1
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        space = self.library.encode(" ", add_special_tokens=False).tokens[0]
+        self.spaced = np.zeros(size, bool)       # tokens that start with a space
+        self.spaced[[i for t, i in self.library.get_vocab().items() if t.startswith(space)]] = True
         self.known: dict[str, bytes] = {}
 
     def ask(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, text: str) -> bytes:
-        if "  " in text:
-            return self.ask([text])[0]
-        first, *rest = text.split(" ")
-        missing = set(rest).difference(self.known)
-        if missing:
+        return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
+
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of parts with the space before them. Parts without white space go together in
+        one text; there, a token that starts with a space starts a part."""
+        plain, other = [], []
+        for p in pieces:
+            (plain if p and "<" not in p and len(p.split()) == 1 and p.strip() == p else other).append(p)
+        self.known.update(zip(other, self.ask([" " + p for p in other])))
+        for i in range(0, len(plain), 2000):
+            part = plain[i:i + 2000]
+            ids = np.frombuffer(self.ask([" " + " ".join(part)])[0], self.kind)
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) != len(part):
+                raise ValueError("the vocabulary joins parts across spaces")
+            ends = [*(first[1:] * self.kind.itemsize).tolist(), ids.nbytes]
+            joined = ids.tobytes()
+            self.known.update(
+                (p, joined[a:b]) for p, a, b in zip(part, (first * self.kind.itemsize).tolist(), ends))
+
+    def encode_all(self, texts: list[str], together: int = 256) -> Iterator[bytes]:
+        """Ids of each text, as ``kind``, little-endian."""
+        for i in range(0, len(texts), together):
+            cut = [[t] if "  " in t else t.split(" ") for t in texts[i:i + together]]
+            firsts = self.ask([pieces[0] for pieces in cut])
+            wanted = set().union(*(pieces[1:] for pieces in cut))
+            missing = wanted.difference(self.known)
             if len(self.known) + len(missing) > PIECES_KEPT:
                 self.known.clear()
-                missing = set(rest)
-            missing = list(missing)
-            self.known.update(zip(missing, self.ask([" " + p for p in missing])))
-        return self.ask([first])[0] + b"".join(map(self.known.__getitem__, rest))
+                missing = wanted
+            self.learn(list(missing))
+            for first, pieces in zip(firsts, cut):
+                yield first + b"".join(map(self.known.__getitem__, pieces[1:]))
 
 
 def filesystem(uri: str):
@@ -82,9 +107,10 @@ def filesystem(uri: str):
 class SequenceWriter:
     """Cuts a stream of ids into sequences and writes them batch by batch."""
 
-    def __init__(self, sink, sequence: int):
-        self.sequence = sequence
-        self.schema = pa.schema([("ids", pa.list_(pa.uint32(), sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+    def __init__(self, sink, sequence: int, kind: np.dtype):
+        self.sequence, self.kind = sequence, kind
+        ids = pa.list_(pa.from_numpy_dtype(kind), sequence)
+        self.schema = pa.schema([("ids", ids), ("mask", pa.list_(pa.bool_(), sequence))])
         self.file = pa.ipc.new_file(sink, self.schema)
         self.waiting: list[bytes] = []
         self.bytes = 0
@@ -92,18 +118,18 @@ class SequenceWriter:
     def add(self, ids: bytes) -> None:
         self.waiting.append(ids)
         self.bytes += len(ids)
-        if self.bytes >= 4 * self.sequence * BATCH:
+        if self.bytes >= self.kind.itemsize * self.sequence * BATCH:
             self.flush(False)
 
     def flush(self, end: bool) -> None:
-        flat = np.frombuffer(b"".join(self.waiting), dtype="<u4")
+        flat = np.frombuffer(b"".join(self.waiting), self.kind)
         step = self.sequence * BATCH
         full = len(flat) if end else len(flat) // step * step
         for i in range(0, full, step):
             part = flat[i:min(i + step, full)]
             pad = -len(part) % self.sequence
-            mask = np.concatenate([np.ones(len(part), np.uint8), np.zeros(pad, np.uint8)])
-            part = np.concatenate([part, np.zeros(pad, np.uint32)])
+            mask = np.arange(len(part) + pad) < len(part)
+            part = np.concatenate([part, np.zeros(pad, self.kind)])
             self.file.write_batch(pa.RecordBatch.from_arrays(
                 [pa.FixedSizeListArray.from_arrays(pa.array(part), self.sequence),
                  pa.FixedSizeListArray.from_arrays(pa.array(mask), self.sequence)], schema=self.schema))
@@ -130,7 +156,6 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
 
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        end = np.array([end_id], dtype="<u4").tobytes()
         codec = writer = None
         n_docs = at = 0
         for batch in batches:
@@ -142,15 +167,15 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
                 system.create_dir(folder, recursive=True)
                 name = f"part-{part:06d}-{attempt}"
                 sink = system.open_output_stream(f"{folder}/{name}.arrow")
-                writer = SequenceWriter(sink, sequence)
+                writer = SequenceWriter(sink, sequence, codec.kind)
+                end = np.array([end_id], codec.kind).tobytes()
                 index_sink = system.open_output_stream(f"{folder}/{name}.index.arrow")
                 index = pa.ipc.new_file(index_sink, INDEX)
             starts, sizes = [], []
-            for text in batch.column(1):
-                ids = codec.encode(text.as_py()) + end
-                writer.add(ids)
+            for ids in codec.encode_all(batch.column(1).to_pylist()):
+                writer.add(ids + end)
                 starts.append(at)
-                sizes.append(len(ids) // 4)
+                sizes.append(len(ids) // codec.kind.itemsize + 1)
                 at += sizes[-1]
             index.write_batch(pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=INDEX))
@@ -211,7 +236,7 @@ def read_files(files: DataFrame) -> DataFrame:
                 for doc_id, start, n, parts in document_ids(path):
                     crc = 0
                     for part in parts:
-                        crc = zlib.crc32(part, crc)
+                        crc = zlib.crc32(part.astype("<u4"), crc)
                     rows.append((doc_id, offset + start, n, crc))
                     if len(rows) == 10_000:
                         yield listed(rows)
