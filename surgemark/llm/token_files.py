@@ -32,7 +32,7 @@ from surgemark.plans.staging import stage, stage_path
 
 SEQUENCE = 2048               # ids in a sequence
 BATCH = 256                   # sequences in a record batch
-PIECES_KEPT = 1_000_000       # parts of texts whose ids a task remembers
+PIECES_KEPT = 500_000         # parts of texts whose ids a Python worker remembers
 
 
 class PieceEncoder:
@@ -84,13 +84,23 @@ class PieceEncoder:
             cut = [[t] if "  " in t else t.split(" ") for t in texts[i:i + together]]
             firsts = self.ask([pieces[0] for pieces in cut])
             wanted = set().union(*(pieces[1:] for pieces in cut))
-            missing = wanted.difference(self.known)
-            if len(self.known) + len(missing) > PIECES_KEPT:
-                self.known.clear()
-                missing = wanted
-            self.learn(list(missing))
+            missing = list(wanted.difference(self.known))
+            self.learn(missing)
             for first, pieces in zip(firsts, cut):
                 yield first + b"".join(map(self.known.__getitem__, pieces[1:]))
+            # What comes early is common, so a full memory keeps what it has.
+            for p in missing[:max(0, len(self.known) - PIECES_KEPT)]:
+                del self.known[p]
+
+    @classmethod
+    def of_worker(cls, path: str) -> "PieceEncoder":
+        """The encoder of this Python worker, which runs many tasks and keeps what it has met."""
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_encoders_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
 
 def filesystem(uri: str):
@@ -162,7 +172,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
             if not batch.num_rows:
                 continue
             if writer is None:
-                codec = PieceEncoder(tokenizer_path)
+                codec = PieceEncoder.of_worker(tokenizer_path)
                 system, folder = filesystem(root)
                 system.create_dir(folder, recursive=True)
                 name = f"part-{part:06d}-{attempt}"
