@@ -473,6 +473,8 @@ SELECT window_id, name, {r("v", 6, "v")} FROM (
     "zscore": one_detector("z", zscore("(count / 600.0::DOUBLE)"), GLOBAL, 600),
     "zscore_both": one_detector("z", zscore("(bytes_changed / 3600.0::DOUBLE)", direction="both"), TYPE, 3600),
     "ewma": one_detector("e", ewma("(count / 600.0::DOUBLE)"), GLOBAL, 600),
+    "ewma_fast": one_detector("e", ewma("(count / 600.0::DOUBLE)", alpha=0.96), GLOBAL, 600),
+    "ewma_long_history": one_detector("e", ewma("(count / 300.0::DOUBLE)"), GLOBAL, 300),
     "ewma_down": one_detector("e", ewma("(count / 3600.0::DOUBLE)", direction="down"), TYPE, 3600),
     "hst": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 3600)}, {dense()}, {hst(3600)}
 SELECT series, window_id, h_flag AS flag, {r("h_score", 6, "score")}, {r("x", 9, "value")} FROM h""",
@@ -507,6 +509,17 @@ FROM surf JOIN dense d ON d.window_id * 600.0 + 600.0 BETWEEN ts - 3600 AND ts +
     "recent_metrics": f"""{D600}
 SELECT window_id, window_id * 600.0::DOUBLE + 600 AS window_end, count, count / 600.0::DOUBLE AS rate FROM dense
 WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 86400 FROM dense)""",
+    "stored_recent_metrics": f"""{D600},
+sc AS (SELECT ts_us // 600000000 AS window_id, domain, count(*) AS cnt, min(seq) AS s FROM ev GROUP BY 1, 2),
+td AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY window_id ORDER BY cnt DESC, s) = 1)
+SELECT window_id * 600.0::DOUBLE + 600 AS window_end, count, count / 600.0::DOUBLE AS rate, domain AS top_domain, cnt AS top_cnt
+FROM dense LEFT JOIN td USING (window_id) WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 86400 FROM dense)""",
+    "stored_incident": f"""{GLOBAL_SURF},
+m AS (SELECT window_id * 600.0::DOUBLE + 600 AS window_end, count FROM dense
+      WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 7 * 86400 FROM dense))
+SELECT id AS anomaly_id, ts AS anomaly_ts, severity AS anomaly_severity, m.window_end, m.count
+FROM surf LEFT JOIN m ON m.window_end BETWEEN ts - 3600 AND ts + 3600""",
+    "append_idempotent": f"{GLOBAL_SURF} SELECT id, ts, series, severity, agreement FROM surf",
     "recent_metrics_as_of": f"""{D600}
 SELECT window_id, window_id * 600.0::DOUBLE + 600 AS window_end, count, count / 600.0::DOUBLE AS rate FROM dense
 WHERE window_id * 600 + 600 > 1705000200 - 7200""",
@@ -562,8 +575,8 @@ g AS (SELECT series, ts::BIGINT AS second, count(*) AS n FROM surf GROUP BY ALL)
 SELECT series, second, n, (sum(n) OVER (PARTITION BY series ORDER BY second RANGE BETWEEN 200000 PRECEDING AND CURRENT ROW))::BIGINT AS trailing FROM g""",
     "health_drops_trailing": f"""WITH {EV},
 d AS (SELECT ts_us // 600000000 AS second, count(*) AS c FROM ev GROUP BY 1 HAVING count(*) > 1)
-SELECT 'all' AS series, second, 1::BIGINT AS n,
-       (count(*) OVER (ORDER BY second RANGE BETWEEN 30 PRECEDING AND CURRENT ROW))::BIGINT AS trailing FROM d""",
+SELECT 'all' AS series, second, (c - 1)::BIGINT AS n,
+       (sum(c - 1) OVER (ORDER BY second RANGE BETWEEN 30 PRECEDING AND CURRENT ROW))::BIGINT AS trailing FROM d""",
     "health_lag": f"""{W600}
 SELECT series, window_id, greatest(0.0::DOUBLE, count - 1.0::DOUBLE) AS lag,
        CASE WHEN count - 1 >= 5 THEN 'red' WHEN count - 1 >= 2 THEN 'yellow' ELSE 'green' END AS band FROM w""",

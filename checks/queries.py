@@ -19,7 +19,7 @@ from surgemark.operators.explain import baselines
 from surgemark.plans.detection import (
     Detection, detect_anomalies, explode_results, score_windows, surfaced_windows, why_for,
 )
-from surgemark.plans.staging import stage, stage_root
+from surgemark.plans.staging import stage, stage_path, stage_root
 from surgemark.sources import capture, jsonl, recentchange, tables
 from surgemark.streaming import closing, run, scoring
 
@@ -248,6 +248,16 @@ def ewma(spark, sf):
     return result_view(scored(spark, sf, TWO.with_(detectors=("ewma",))), "ewma")
 
 
+def ewma_fast(spark, sf):
+    return result_view(scored(spark, sf, TWO.with_(detectors=("ewma",), ewma_alpha=0.96)), "ewma")
+
+
+def ewma_long_history(spark, sf):
+    """Another detector's window is far longer than what EWMA can weigh."""
+    cfg = TWO.with_(tick_seconds=300, detectors=("ewma",), zscore_window=9000)
+    return result_view(scored(spark, sf, cfg), "ewma")
+
+
 def ewma_down(spark, sf):
     cfg = HOURLY.with_(detectors=("ewma",), direction="down")
     return result_view(scored(spark, sf, cfg, BY_TYPE), "ewma")
@@ -375,11 +385,48 @@ def snapshot(spark, sf):
 
 def retention(spark, sf):
     w = win.window_metrics(events(spark, sf), TWO)
-    stored = history.metric_table(w.withColumn("detectors", F.lit(None)))
-    return history.retain(stored, TWO).select(
+    path = stage_path(spark, "metrics")
+    history.append_by_day(history.metric_table(w.withColumn("detectors", F.lit(None))), path)
+    return history.retain(spark.read.parquet(path), TWO).select(
         F.unix_micros("time").alias("t_us"), "series", "count", half_up(F.col("rate"), 9).alias("rate"))
 
 
+def stored_tables(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Metrics (kept for the retention time) and anomalies, written as the sinks do and read
+    back; the anomalies are written twice."""
+    windows = stage(win.window_metrics(events(spark, sf), TWO), "windows")
+    s = score_windows(windows, TWO)
+    found = stage(surfaced_windows(s, TWO, staged=True), "surfaced").withColumn(
+        "why", F.array().cast("array<struct<dim:string,value:string,observed:bigint,baseline:double,"
+                              "excess:double,share:double>>"))
+    nested = win.nest_dims(win.dim_topk(win.dim_counts(events(spark, sf), TWO), TWO))
+    root = stage_path(spark, "tables")
+    history.append_by_day(history.retain(history.metric_table(s, nested_dims=nested), TWO), f"{root}/metrics")
+    for _ in range(2):
+        history.append_idempotent(history.anomaly_table(found), f"{root}/anomalies")
+    return history.read_metrics(spark, f"{root}/metrics"), history.read_anomalies(spark, f"{root}/anomalies")
+
+
+def stored_recent_metrics(spark, sf):
+    m, _ = stored_tables(spark, sf)
+    return history.recent_metrics(m, TWO, 86_400).select(
+        "window_end", "count", "rate", F.get(F.col("top")["domain"], 0)["value"].alias("top_domain"),
+        F.get(F.col("top")["domain"], 0)["cnt"].alias("top_cnt"))
+
+
+def stored_incident(spark, sf):
+    """Anomalies with the metrics around them; the older ones have none left."""
+    m, a = stored_tables(spark, sf)
+    return history.incidents(a, m, TWO.with_(incident_pad=3600.0), record=("severity",)).select(
+        "anomaly_id", "anomaly_ts", "anomaly_severity", "window_end", "count")
+
+
+def append_idempotent(spark, sf):
+    """The anomaly table after the same batch came twice."""
+    _, a = stored_tables(spark, sf)
+    return a.select("id", "ts", "series", "severity", "agreement")
+
+
 def idempotent_append(spark, sf):
     """Insert per-type windows in two overlapping batches; keys are stored once."""
     w = win.window_metrics(events(spark, sf), HOURLY, BY_TYPE)
@@ -456,7 +503,7 @@ def health_drops_trailing(spark, sf):
     cfg = EngineConfig(max_events_per_sec=1)
     drops = ingest.rate_drops(events(spark, sf), cfg, F.floor(epoch(F.col("ts")) / 600))
     rows = drops.withColumn("series", F.lit("all"))
-    return health.trailing_count(rows, F.col("second"), span=30, length=500)
+    return health.trailing_count(rows, F.col("second"), span=30, length=500, weight=F.col("dropped"))
 
 
 def health_lag(spark, sf):
@@ -591,11 +638,12 @@ QUERIES: dict[str, Query] = {
         dedupe, rate_cap, rate_drops, retime, replay_gaps,
         window_metrics, window_metrics_by_type, orders_windows, window_metrics_gapfilled,
         flush_windows, fold_late_windows, feature_vector, dim_counts, dim_topk,
-        zscore, zscore_both, ewma, ewma_down, hst, detector_results,
+        zscore, zscore_both, ewma, ewma_fast, ewma_long_history, ewma_down, hst, detector_results,
         ensemble_candidates, cooldown, anomalies, anomalies_three_detectors, baseline, why,
         anomalies_explained,
         incident_window, recent_metrics, recent_metrics_as_of, recent_anomalies, anomaly_listing,
-        last_windows, snapshot, retention, idempotent_append, pipeline_stats,
+        last_windows, snapshot, retention, stored_recent_metrics, stored_incident, append_idempotent,
+        idempotent_append, pipeline_stats,
         trend, agreement, detector_scores, sparkline, series_summary, chart_markers,
         stale_intervals,
         health_latest_rate, health_anomalies_trailing, health_drops_trailing, health_lag,

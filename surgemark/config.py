@@ -84,6 +84,9 @@ class EngineConfig:
             raise ValueError("ewma_alpha must lie strictly between 0 and 1")
         if not 0.0 < self.baseline_alpha < 1.0:
             raise ValueError("baseline_alpha must lie strictly between 0 and 1")
+        if self.slice_windows and not 0 < self.slice_windows <= self.ewma_rows - self.ewma_halo:
+            raise ValueError(
+                f"slice_windows must lie between 1 and {self.ewma_rows - self.ewma_halo} for this ewma_alpha")
         if self.direction not in ("up", "down", "both"):
             raise ValueError(f"unknown direction {self.direction!r}")
         if self.late not in ("event_time", "fold"):
@@ -116,11 +119,14 @@ class EngineConfig:
 
     @property
     def slice_len(self) -> int:
-        """Windows per slice: bounded so (1-alpha)^-rows stays far inside a double."""
-        if self.slice_windows:
-            return self.slice_windows
-        decades = -math.log10(1.0 - self.ewma_alpha)
-        return max(1, min(65_536, int(230 / decades) - self.halo))
+        """Windows per slice: (1-alpha)^-rows, counted from the EWMA halo on, stays below
+        1e230. Other detectors' halos do not count: EWMA gives their rows no weight."""
+        return self.slice_windows or min(65_536, self.ewma_rows - self.ewma_halo)
+
+    @property
+    def ewma_rows(self) -> int:
+        """Rows after which (1-alpha)^-rows reaches 1e230; over four times the EWMA halo."""
+        return int(230 / -math.log10(1.0 - self.ewma_alpha))
 
     def with_(self, **changes) -> "EngineConfig":
         return replace(self, **changes)

@@ -7,8 +7,10 @@ With ``b = 1 - alpha`` the recursions ``m' = b m + alpha x`` and
     v_before(i) = b^i     * sum_{0<j<i} alpha d_j^2 b^-j,    d_j = x_j - m_before(j)
 
 so each slice needs only running sums, which Spark evaluates JVM-side over one sort. Row
-0 of a slice is either the first window of the series or the start of a halo long enough
-for the forgotten past to weigh under 1e-50; slice length keeps ``b^-i`` below 1e230.
+0 is the first window of the series, or the window ``ewma_halo`` rows before the slice, so
+far back that the forgotten past weighs under 1e-50. Earlier rows that other detectors
+brought along have no weight, so the exponent never exceeds ``ewma_halo + slice_len``,
+which ``EngineConfig`` keeps far inside a double.
 """
 
 from __future__ import annotations
@@ -34,12 +36,14 @@ class EwmaChart(Detector):
         before = line.rowsBetween(Window.unboundedPreceding, -1)
         x = F.col(cfg.value_metric).cast("double")
         i = F.col("_ei")
+        start = F.greatest(F.col("lo"), F.col("slice") * cfg.slice_len - cfg.ewma_halo)
         frame = (
-            frame.withColumn("_ei", F.row_number().over(line) - 1)
-            .withColumn("_ew", F.when(i == 0, x).otherwise(F.lit(a) * x) * F.pow(F.lit(b), -i))
+            frame.withColumn("_ei", F.col("window_id") - start)
+            .withColumn("_ew", F.when(i == 0, x).when(i > 0, F.lit(a) * x) * F.pow(F.lit(b), -i))
             .withColumn("_em", F.sum("_ew").over(before) * F.pow(F.lit(b), i - 1))
             .withColumn("_ed", x - F.col("_em"))
-            .withColumn("_eq", F.lit(a) * F.col("_ed") * F.col("_ed") * F.pow(F.lit(b), -i))
+            .withColumn("_eq", F.when(
+                i > 0, F.lit(a) * F.col("_ed") * F.col("_ed") * F.pow(F.lit(b), -i)))
             .withColumn(
                 "_es",
                 F.sqrt(F.coalesce(F.sum("_eq").over(before), F.lit(0.0)) * F.pow(F.lit(b), i)),

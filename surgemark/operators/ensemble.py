@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
 
-NO_EMISSION = -1e9
-COOLDOWN_CHUNK = 4_096
+COOLDOWN_CHUNK = 256
 
 
 def collect_results(results: DataFrame, order: tuple[str, ...] = ("zscore", "ewma", "hst")) -> DataFrame:
@@ -91,69 +95,107 @@ def ensemble(frame: DataFrame, cfg: EngineConfig) -> DataFrame:
     )
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of a sorted stream that agree in their first ``keys`` columns."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:keys] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+    if rows:
+        yield key, rows
+
+
+def _following(at: np.ndarray, cd: float) -> np.ndarray:
+    """For each time the place of the first one at least ``cd`` later."""
+    found = np.searchsorted(at, at + cd)
+    late = (found > 0) & (at[found - 1] - at >= cd)          # the sum above was rounded up
+    found = np.where(late, found - 1, found)
+    early = (found < len(at)) & (at[np.minimum(found, len(at) - 1)] - at < cd)
+    return np.where(early, found + 1, found)
+
+
 def apply_cooldown(
     candidates: DataFrame, cfg: EngineConfig, ts: str = "window_end",
     keys: tuple[str, ...] = ("series", "metric"), chunk_spans: int = COOLDOWN_CHUNK,
 ) -> DataFrame:
     """Drop a candidate closer than the cooldown to the last *emitted* one.
 
-    A candidate at least one cooldown after its predecessor is always emitted, whatever
-    came before, so it starts a run that is decided on its own. Predecessors and run
-    starts are running maxima, found chunk by chunk; only runs of back-to-back
-    candidates are walked in order.
+    Time is cut into chunks of ``chunk_spans`` cooldowns. What a chunk emits depends on the
+    past only through its first emission, which must lie in its first cooldown or be the
+    first candidate after that; for each of these few the chunk's last emission is found.
+    Going through these rows in order with one number of state, the last emission so far,
+    gives each chunk's first emission, and the chunks then emit independently.
     """
     cd = float(cfg.cooldown_seconds)
     if cd <= 0:
         return candidates
     keys = list(keys)
-    at = F.col("_at")
-    inside = Window.partitionBy(*keys, "_chunk").orderBy("_at")
+    width = cd * chunk_spans
+    kinds = {f.name: f.dataType.simpleString() for f in candidates.schema.fields}
+    head = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
+    n = len(keys)
     slim = (
-        candidates.select(*keys, F.col(ts).cast("double").alias("_at"))
-        .withColumn("_chunk", F.floor(at / F.lit(cd * chunk_spans)))
-        .withColumn("_prev", F.lag("_at").over(inside))
-        .withColumn("_start", F.when(at - F.col("_prev") >= cd, at))
+        candidates.select(*keys, F.floor(F.col(ts).cast("double") / F.lit(width)).alias("_chunk"),
+                          F.col(ts).cast("double").alias("_at"))
+        .where("_at IS NOT NULL").distinct()
     )
-    # Per chunk: the last candidate before it, and the last run start before it.
-    chunks = Window.partitionBy(*keys).orderBy("_chunk")
-    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        slim.groupBy(*keys, "_chunk")
-        .agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"),
-             F.max("_start").alias("_inner"))
-        .withColumn("_carry_prev", F.lag("_last").over(chunks))
-        .withColumn("_opens", F.coalesce(
-            "_inner",
-            F.when(F.col("_carry_prev").isNull() | (F.col("_first") - F.col("_carry_prev") >= cd),
-                   F.col("_first")),
-        ))
-        .withColumn("_carry_start", F.max("_opens").over(earlier))
-        .select(*keys, "_chunk", "_carry_prev", "_carry_start")
-    )
-    opens = F.coalesce(
-        F.col("_start"),
-        F.when(
-            F.col("_prev").isNull()
-            & (F.col("_carry_prev").isNull() | (at - F.col("_carry_prev") >= cd)), at),
-    )
-    runs = slim.join(carries, on=[*keys, "_chunk"], how="left").withColumn(
-        "_run", F.greatest(F.col("_carry_start"), F.max(opens).over(inside))
-    )
-    state = F.struct(
-        F.lit(NO_EMISSION).alias("last"),
-        F.array().cast("array<double>").alias("kept"),
-    )
-    walked = F.aggregate(
-        F.array_sort(F.collect_list("_at")), state,
-        lambda acc, t: F.when(
-            t - acc["last"] >= cd,
-            F.struct(t.alias("last"), F.concat(acc["kept"], F.array(t)).alias("kept")),
-        ).otherwise(acc),
-        lambda acc: acc["kept"],
+
+    def batch(rows: list[tuple], names: list[str], like: list[pa.DataType]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), like)], names=names)
+
+    key_types = [to_arrow_type(candidates.schema[k].dataType) for k in keys]
+    whole, real = pa.int64(), pa.float64()
+
+    def transfers(batches):
+        for key, rows in _groups(batches, n + 1):
+            at = np.array([r[0] for r in rows])
+            step = _following(at, cd)
+            last = np.arange(len(at))
+            for i in range(len(at) - 1, -1, -1):
+                if step[i] < len(at):
+                    last[i] = last[step[i]]
+            reach = min(len(at), int(np.searchsorted(at, key[n] * width + cd)) + 1)
+            yield batch([(*key, float(at[i]), float(at[last[i]])) for i in range(reach)],
+                        [*keys, "_chunk", "_at", "_last"], [*key_types, whole, real, real])
+
+    def entries(batches):
+        key, last, entered = None, -np.inf, None
+        for part in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in part.columns)):
+                if row[:n] != key:
+                    key, last, entered = row[:n], -np.inf, None
+                if row[n] != entered and row[n + 1] - last >= cd:
+                    entered, last = row[n], row[n + 2]
+                    out.append(row[:n + 2])
+            if out:
+                yield batch(out, [*keys, "_chunk", "_entry"], [*key_types, whole, real])
+
+    def emissions(batches):
+        for key, rows in _groups(batches, n + 1):
+            at = np.array([r[0] for r in rows])
+            step = _following(at, cd)
+            i, out = int(np.searchsorted(at, rows[0][1])), []
+            while i < len(at):
+                out.append((*key[:n], float(at[i])))
+                i = int(step[i])
+            if out:
+                yield batch(out, [*keys, "_at"], [*key_types, real])
+
+    chunked = slim.repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", "_at")
+    first = (
+        chunked.mapInArrow(transfers, f"{head}, _chunk long, _at double, _last double")
+        .repartition(*keys).sortWithinPartitions(*keys, "_chunk", "_at")
+        .mapInArrow(entries, f"{head}, _chunk long, _entry double")
     )
     emitted = (
-        runs.groupBy(*keys, "_run").agg(walked.alias("_kept"))
-        .select(*keys, F.explode("_kept").alias("_at"))
+        slim.join(first, [*keys, "_chunk"]).select(*keys, "_chunk", "_at", "_entry")
+        .repartition(*keys, "_chunk").sortWithinPartitions(*keys, "_chunk", "_at")
+        .mapInArrow(emissions, f"{head}, _at double")
     )
     return (
         candidates.withColumn("_at", F.col(ts).cast("double"))

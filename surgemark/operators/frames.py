@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from surgemark.functions.scalar import half_up
 
@@ -10,17 +10,19 @@ FRAME_DIMS = ("domain", "lang")
 FRAME_TOP = 6
 
 
+def leading_values(dim_counts: Column) -> Column:
+    """``dim -> [(value, cnt), ...]`` cut to the frame dimensions and their first values."""
+    top = F.transform_values(
+        F.map_filter(dim_counts, lambda k, v: k.isin(*FRAME_DIMS)), lambda k, v: F.slice(v, 1, FRAME_TOP))
+    return F.coalesce(top, F.create_map().cast("map<string,array<struct<value:string,cnt:bigint>>>"))
+
+
 def metric_frame(scored: DataFrame, nested_dims: DataFrame | None = None) -> DataFrame:
     """Compact per-window message; ``top`` keeps the leading values of two dimensions."""
     frame = scored
     if nested_dims is not None:
         frame = scored.join(nested_dims, ["series", "window_id"], "left")
-        top = F.transform_values(
-            F.map_filter("dim_counts", lambda k, v: k.isin(*FRAME_DIMS)),
-            lambda k, v: F.slice(v, 1, FRAME_TOP),
-        )
-        empty = F.create_map().cast("map<string,array<struct<value:string,cnt:bigint>>>")
-        frame = frame.withColumn("top", F.coalesce(top, empty))
+        frame = frame.withColumn("top", leading_values(F.col("dim_counts")))
     detectors = F.transform("detectors", lambda d: F.struct(
         d["name"].alias("name"), half_up(d["score"], 4).alias("score"), d["flag"].alias("flag"),
         d["detail"]["z"].alias("z"),

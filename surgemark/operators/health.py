@@ -20,16 +20,18 @@ def latest_rate(windows: DataFrame) -> DataFrame:
 
 
 def trailing_count(
-    rows: DataFrame, at: Column, span: int = TRAILING_SECONDS, length: int = SLICE_SECONDS
+    rows: DataFrame, at: Column, span: int = TRAILING_SECONDS, length: int = SLICE_SECONDS,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Rows in the ``span`` seconds up to each active second (both ends included).
+    """Rows, or the sum of ``weight`` over them, in the ``span`` seconds up to each active
+    second (both ends included).
 
     Rows combine to counts per second first; day slices with a ``span`` halo then carry
     the range frame, so neither a hot second nor a long series meets one task.
     """
     seconds = (
         rows.withColumn("second", F.floor(at).cast("long"))
-        .groupBy("series", "second").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("series", "second").agg(F.sum(F.lit(1) if weight is None else weight).cast("long").alias("n"))
     )
     frame = Window.partitionBy("series", "slice").orderBy("second").rangeBetween(-span, 0)
     return (

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from surgemark.config import EngineConfig
-from surgemark.functions.scalar import from_epoch, half_up
+from surgemark.functions.scalar import epoch, from_epoch, half_up
+from surgemark.operators.frames import FRAME_DIMS, FRAME_TOP, leading_values
 from surgemark.schemas import ANOMALY_TABLE, METRIC_TABLE
 
 
@@ -16,12 +17,45 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def metric_table(scored: DataFrame, source: str | None = None) -> DataFrame:
-    """Scored windows in stored form; a missing source gets the default name."""
-    return _conform(
-        scored.withColumn("time", from_epoch(F.col("window_end")))
-        .withColumn("source", F.lit(source or EngineConfig().source)), METRIC_TABLE,
-    )
+def metric_table(
+    scored: DataFrame, source: str | None = None, nested_dims: DataFrame | None = None
+) -> DataFrame:
+    """Scored windows in stored form; a missing source gets the default name.
+
+    ``top`` holds the leading dimension values, from ``nested_dims`` (``nest_dims``) or from
+    the ``sightings`` that streaming rows carry; it is null where neither is known.
+    """
+    rows = scored.withColumn("time", from_epoch(F.col("window_end"))).withColumn(
+        "source", F.lit(source or EngineConfig().source))
+    if nested_dims is not None:
+        rows = rows.join(nested_dims, ["series", "window_id"], "left").withColumn(
+            "top", leading_values(F.col("dim_counts")))
+    elif "sightings" in rows.columns:
+        rows = rows.withColumn("top", _seen_values(F.col("sightings")))
+    else:
+        rows = rows.withColumn("top", F.lit(None))
+    return _conform(rows, METRIC_TABLE)
+
+
+def _seen_values(sightings: Column) -> Column:
+    """Streaming sightings of a dimension come in rank order."""
+    def of(dim: str) -> Column:
+        mine = F.filter(sightings, lambda s: s["dim"] == dim)
+        return F.slice(
+            F.transform(mine, lambda s: F.struct(s["value"].alias("value"), s["cnt"].alias("cnt"))), 1, FRAME_TOP)
+
+    pairs = F.array(*[F.struct(F.lit(d).alias("key"), of(d).alias("value")) for d in FRAME_DIMS])
+    return F.map_from_entries(F.filter(pairs, lambda p: F.size(p["value"]) > 0))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """A stored metric table with the window end in epoch seconds, as the queries below read it."""
+    return spark.read.parquet(path).withColumn("window_end", epoch(F.col("time")))
+
+
+def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
+    """A stored anomaly table with its time in epoch seconds (``ts``)."""
+    return spark.read.parquet(path).withColumn("ts", epoch(F.col("time")))
 
 
 def anomaly_table(anomalies: DataFrame) -> DataFrame:
@@ -78,9 +112,11 @@ def latest(df: DataFrame, col: str) -> Column:
 
 def retain(metrics: DataFrame, cfg: EngineConfig, as_of: Column | None = None) -> DataFrame:
     """Metrics of the last ``retention_days``; on a day-partitioned table whole days drop
-    out by partition pruning when ``as_of`` is given."""
-    as_of = latest(metrics, "time") if as_of is None else as_of
-    return metrics.where(F.col("time") >= as_of - F.expr(f"INTERVAL {cfg.retention_days} DAYS"))
+    out by partition pruning."""
+    since = (latest(metrics, "time") if as_of is None else as_of) - F.expr(f"INTERVAL {cfg.retention_days} DAYS")
+    if "day" in metrics.columns:
+        metrics = metrics.where(F.col("day") >= F.to_date(since))
+    return metrics.where(F.col("time") >= since)
 
 
 # -- recent rows -----------------------------------------------------------------
@@ -100,10 +136,10 @@ def recent_metrics(
     rows at or after the newest row minus ``seconds``.
     """
     span = clamp_seconds(cfg.history_default if seconds is None else seconds, cfg)
-    if as_of is not None:
-        kept = metrics.where(F.col(t) > F.lit(float(as_of - span)))
-    else:
-        kept = metrics.where(F.col(t) >= latest(metrics, t) - F.lit(float(span)))
+    since = F.lit(float(as_of - span)) if as_of is not None else latest(metrics, t) - F.lit(float(span))
+    kept = metrics.where(F.col(t) > since if as_of is not None else F.col(t) >= since)
+    if "day" in metrics.columns:
+        kept = kept.where(F.col("day") >= F.to_date(from_epoch(since)))
     return kept.orderBy(t, "series")
 
 
@@ -142,33 +178,38 @@ def snapshot(metrics: DataFrame, anomalies: DataFrame, cfg: EngineConfig) -> Dat
 
 def incidents(
     anomalies: DataFrame, metrics: DataFrame, cfg: EngineConfig,
-    t: str = "window_end", on_series: bool = True,
+    t: str = "window_end", on_series: bool = True, record: Sequence[str] = (),
 ) -> DataFrame:
     """Every anomaly with the metric rows within +-pad seconds of it.
 
+    An anomaly whose metrics have expired keeps one row, with null metrics. ``record`` names
+    further columns of the anomaly to carry, under an ``anomaly_`` prefix.
+
     An interval join as an equi-join: both sides fall into buckets of one pad, an anomaly
     reaches the three around it, the exact test follows on the bucket matches.
     """
     pad = float(cfg.incident_pad)
     bucket = lambda c: F.floor(c / F.lit(pad)).cast("long")
-    a = anomalies.select(
-        F.col("id").alias("anomaly_id"), F.col("ts").alias("anomaly_ts"), "series",
-        F.explode(F.sequence(bucket(F.col("ts") - pad), bucket(F.col("ts") + pad))).alias("_b"),
-    )
+    whose = anomalies.select(
+        F.col("id").alias("anomaly_id"), F.col("ts").alias("anomaly_ts"),
+        *[F.col(c).alias(f"anomaly_{c}") for c in record], *(["series"] if on_series else []))
+    ends = (bucket(F.col("anomaly_ts") - pad), bucket(F.col("anomaly_ts") + pad))
+    a = whose.withColumn("_b", F.explode(F.sequence(*ends)))
     m = metrics.withColumn("_b", bucket(F.col(t)))
     keys = ["series", "_b"] if on_series else ["_b"]
-    if not on_series:
-        a = a.drop("series")
     near = F.col(t).between(F.col("anomaly_ts") - pad, F.col("anomaly_ts") + pad)
-    return m.join(a, on=keys, how="inner").where(near).drop("_b")
+    found = m.join(a, on=keys, how="inner").where(near).drop("_b")
+    bare = whose.join(found.select("anomaly_id", "anomaly_ts"), ["anomaly_id", "anomaly_ts"], "left_anti")
+    return found.unionByName(bare, allowMissingColumns=True)
 
 
 def incident(
     anomaly_id: str, anomalies: DataFrame, metrics: DataFrame, cfg: EngineConfig
 ) -> DataFrame:
-    """The series around one anomaly, oldest first; no rows for an unknown id."""
+    """One anomaly's record and the series around it, oldest first; no rows for an unknown id."""
     one = anomalies.where(F.col("id") == anomaly_id)
-    return incidents(one, metrics, cfg).orderBy("window_end")
+    record = [c for c in one.columns if c not in ("id", "ts", "series", "day", "time")]
+    return incidents(one, metrics, cfg, record=record).orderBy("window_end")
 
 
 # -- pipeline counters -------------------------------------------------------------

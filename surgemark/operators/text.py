@@ -11,9 +11,6 @@ from surgemark.plans.staging import stage
 K1, B = 1.5, 0.75
 MIN_TOKEN = 3
 TIE_DIGITS = 9
-# Query terms are replicated once per salt, so a term found in a third of all documents
-# is spread over this many join keys.
-SALTS = 32
 
 # Default category keywords and the category used when nothing matches.
 DEFAULT_CATEGORY = "style"
@@ -54,58 +51,50 @@ def tokens(text: Column) -> Column:
 
 def bm25(
     docs: DataFrame, queries: DataFrame, n: int, doc_id: str = "doc_id", query_id: str = "query_id",
-    text: str = "text", salts: int = SALTS, staged: bool = True,
+    text: str = "text", staged: bool = True,
 ) -> DataFrame:
     """Best ``n`` documents of each query: (query_id, doc_id, score, rank).
 
-    Only postings of query terms leave the map side: each document is tokenised once, its
-    tokens meet the query vocabulary, and the counts are combined before any shuffle. The
-    postings are read for frequencies and for scores, hence stored when ``staged``.
-    Salted keys keep a very common term from landing in one task, and the top-n filter
-    cuts each query to n rows per task. Ties go to the smaller document id, scores being
-    compared at nine decimals so that the order terms are summed in cannot decide.
+    The query vocabulary is stored first, so the planner knows its size: as long as it can
+    be sent everywhere, each document is tokenised once and only its postings of query terms,
+    and one row with its length, are kept, without an exchange. These are stored when
+    ``staged`` and combined before any shuffle. Ties go to the smaller document id, scores
+    being compared at nine decimals so that the order terms are summed in cannot decide.
     """
     asked = (
         queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
         .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"))
     )
-    all_salts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    # The empty term stands for the document itself: one row per document carries its
-    # length, so corpus size and average length come out of the same single pass.
-    vocabulary = (
-        asked.select("term").union(asked.sparkSession.createDataFrame([("",)], "term string"))
-        .distinct().select("term", all_salts)
-    )
-    postings = (
-        docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
-        .select(
-            "doc_id", F.size("words").alias("len"),
-            F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
-            F.explode(F.array_append("words", "")).alias("term"),
-        )
-        .join(vocabulary, ["term", "salt"], "left_semi")
-        .groupBy("term", "salt", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    # The empty term stands for the document itself and carries its length.
+    vocabulary = asked.select("term").union(asked.sparkSession.range(1).select(F.lit(""))).distinct()
+    if staged:
+        vocabulary = stage(vocabulary, "vocabulary")
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")
+    ).select("doc_id", F.size("words").alias("len"), F.explode(F.array_append("words", "")).alias("term"))
+    found = rows.join(vocabulary, "term", "left_semi")
     if staged:
-        postings = stage(postings, "postings")
-    totals = postings.where("term = ''").agg(
+        found = stage(found, "postings")
+    totals = found.where("term = ''").agg(
         F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("len").alias("avg_len"))
     )
+    postings = found.where("term <> ''").groupBy("term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     terms = (
         asked.join(frequency, "term")
         .withColumn("_t", totals.scalar())
         .withColumn("idf", F.log((F.col("_t.n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0))
-        .select("query_id", "term", "weight", "idf", F.col("_t.avg_len").alias("avg_len"), all_salts)
+        .select("query_id", "term", "weight", "idf", F.col("_t.avg_len").alias("avg_len"))
     )
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len"))
     part = F.col("weight") * F.col("idf") * F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + norm)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
     return (
-        postings.join(terms, ["term", "salt"])
+        postings.join(terms, "term")
         .groupBy("query_id", "doc_id")
-        .agg(F.round(F.sum(part), TIE_DIGITS).alias("score"))
-        .where("score > 0")
+        .agg(F.sum(part).alias("_exact"))
+        .where("_exact > 0")
+        .withColumn("score", F.round("_exact", TIE_DIGITS))
         .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= n)
         .select("query_id", "doc_id", "score", "rank")

@@ -21,7 +21,6 @@ from surgemark.plans.staging import stage
 from surgemark.schemas import CONTRIBUTION
 
 # Time buckets that may be broadcast to prune the dimension scan: about 4 MB of keys.
-MAX_PRUNE_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -87,10 +86,9 @@ def why_for(
     """Ranked contributions of each surfaced window.
 
     A baseline forgets everything older than its halo, so only events in the time bucket
-    of an anomaly and the bucket before matter. With ``prune`` (``surfaced`` is a small
-    stored table) the distinct buckets are counted, and if few enough they are broadcast
-    to drop all other events ahead of the dimension explode. Beyond the bound nothing is
-    dropped early and the answer is the same.
+    of an anomaly and the bucket before matter. With ``prune`` (``surfaced`` is a stored
+    table) a semi-join drops all other events ahead of the dimension explode; whether the
+    buckets are broadcast or shuffled is left to the planner.
     """
     length = cfg.baseline_halo
     targets = surfaced.select("series", "window_id").distinct()
@@ -99,16 +97,14 @@ def why_for(
         "series", F.floor(F.col("window_id") / F.lit(length)).alias("slice")
     ).distinct()
     if prune:
-        pruned = slices.limit(MAX_PRUNE_BUCKETS + 1).count() <= MAX_PRUNE_BUCKETS
-        if pruned:
-            near = slices.select(
-                "series", F.explode(F.array(F.col("slice") - 1, F.col("slice"))).alias("_bucket")
-            ).distinct()
-            placed = (
-                placed.withColumn("_bucket", F.floor(F.col("window_id") / F.lit(length)))
-                .join(F.broadcast(near), on=["series", "_bucket"], how="left_semi")
-                .drop("_bucket")
-            )
+        near = slices.select(
+            "series", F.explode(F.array(F.col("slice") - 1, F.col("slice"))).alias("_bucket")
+        ).distinct()
+        placed = (
+            placed.withColumn("_bucket", F.floor(F.col("window_id") / F.lit(length)))
+            .join(near, on=["series", "_bucket"], how="left_semi")
+            .drop("_bucket")
+        )
     topk = dim_topk(dim_counts(events, cfg, series_cols, placed=placed), cfg)
     sightings = sliced_sightings(topk, cfg, length).join(slices, ["series", "slice"], "left_semi")
     levels = scan_baselines(sightings.select(

@@ -63,6 +63,8 @@ METRIC_TABLE = T.StructType([
     T.StructField("bytes_per_sec", T.DoubleType()),
     T.StructField("new_rate", T.DoubleType()),
     T.StructField("detectors", T.ArrayType(RESULT)),
+    T.StructField("top", T.MapType(T.StringType(), T.ArrayType(T.StructType([
+        T.StructField("value", T.StringType()), T.StructField("cnt", T.LongType())])))),
 ])
 
 ANOMALY_TABLE = T.StructType([

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 def _field(line, name: str):
     """Value of a ``name: value`` line, one leading space removed; NULL for other lines."""
-    text = F.when(line.startswith(f"{name}:"), F.substring(line, len(name) + 2, 2 ** 30))
+    text = F.when(line.startswith(f"{name}:"), F.substr(line, F.lit(len(name) + 2)))
     text = F.when(line == name, F.lit("")).otherwise(text)
-    return F.when(text.startswith(" "), F.substring(text, 2, 2 ** 30)).otherwise(text)
+    return F.when(text.startswith(" "), F.substr(text, F.lit(2))).otherwise(text)
 
 
 def read_capture(spark: SparkSession, path: str) -> DataFrame:

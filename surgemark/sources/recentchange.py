@@ -11,26 +11,23 @@ SOURCE = "recentchange"
 UNKNOWN = "?"
 
 
-# The payload fields that events are made of, and the texts of values that
-# count as absent unless they are strings.
-PAYLOAD = (
-    "server_name string, meta struct<id: string, domain: string>, id string, type string, "
-    "user string, title string, bot string, timestamp string, namespace variant, "
-    "length struct<new: variant, old: string>"
-)
+# The texts of values that count as absent unless they are strings.
 FALSY = ("false", "0", "0.0", "-0.0", "[]", "{}")
 _NUMBER = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+# Seconds that a timestamp of whole microseconds can hold.
+MOST_SECONDS = 9.2e12
 
 
-def _truthy(name: str) -> Column:
-    """Text of a value, NULL when it is missing, null, empty, zero or false.
+def _field(path: str) -> Column:
+    return F.try_variant_get("_v", f"$.{path}", "variant")
 
-    Only a text that looks like a zero or a false makes the row be parsed again, to see
-    whether it was a string.
-    """
-    text = F.col(f"_p.{name}")
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("_raw"), f"$.{name}", "variant"))
-    return F.when(text.isin(*FALSY), F.when(kind == "STRING", text)).otherwise(blank_to_null(text))
+
+def _truthy(path: str) -> Column:
+    """Text of a value, NULL when it is missing, null, empty, zero or false."""
+    value = _field(path)
+    text = value.try_cast("string")
+    return F.when(text.isin(*FALSY), F.when(F.schema_of_variant(value) == "STRING", text)).otherwise(
+        blank_to_null(text))
 
 
 def _whole(text: Column) -> Column:
@@ -51,13 +48,16 @@ def normalise_recentchange(
 ) -> DataFrame:
     """Rows that are not JSON objects are dropped.
 
-    ``ingest_time`` (epoch seconds) stands in for a missing or non-numeric timestamp;
-    passing it as a column keeps re-runs identical.
+    ``ingest_time`` (epoch seconds) stands in for a missing or non-numeric timestamp, and
+    for a number of seconds that no timestamp can hold (beyond ``MOST_SECONDS``); passing
+    it as a column keeps re-runs identical. Any other number is taken as it is.
+
+    A payload is parsed once: the explode keeps the filter from being moved below it.
     """
     now = epoch(F.current_timestamp()) if ingest_time is None else ingest_time
-    stated = F.col("_p.timestamp").try_cast("double")
-    stated = F.when(F.isnan(stated) | (F.abs(stated) > 1e11), F.lit(None)).otherwise(stated)
-    new, old, space = F.col("_p.length.new"), F.col("_p.length.old"), F.col("_p.namespace")
+    stated = _field("timestamp").try_cast("string").try_cast("double")
+    stated = F.when(F.isnan(stated) | (F.abs(stated) > MOST_SECONDS), F.lit(None)).otherwise(stated)
+    new, old, space = _field("length.new"), _field("length.old").try_cast("string"), _field("namespace")
     delta = F.when(
         F.schema_of_variant(new).rlike(_NUMBER),
         _whole(new.try_cast("string")) - F.coalesce(_whole(old), F.lit(0)),
@@ -74,9 +74,9 @@ def normalise_recentchange(
     )
     order = F.monotonically_increasing_id() if seq is None else seq
     objects = (
-        raw.select(F.col(payload).alias("_raw"), now.alias("_now"), order.alias("seq"))
-        .where(F.schema_of_variant(F.try_parse_json("_raw")).startswith("OBJECT"))
-        .withColumn("_p", F.from_json("_raw", PAYLOAD))
+        raw.select(
+            now.alias("_now"), order.alias("seq"), F.explode(F.array(F.try_parse_json(payload))).alias("_v"))
+        .where(F.schema_of_variant("_v").startswith("OBJECT"))
     )
     typed = objects.select(
         F.coalesce(_truthy("server_name"), _truthy("meta.domain"), F.lit(UNKNOWN))

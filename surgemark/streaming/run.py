@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from surgemark.config import EngineConfig
+from surgemark.functions.scalar import from_epoch
 from surgemark.operators.ensemble import anomaly_records, apply_cooldown, ensemble
 from surgemark.operators.explain import contributions
 from surgemark.operators.history import anomaly_table, append_idempotent, metric_table
@@ -58,7 +59,8 @@ def emit_anomalies(scored: DataFrame, stored: DataFrame | None, cfg: EngineConfi
     pool = candidates.select(*names)
     if stored is not None:
         first = candidates.agg(F.min("window_end").alias("t")).scalar()
-        recent = stored.where(F.unix_micros("time") / 1e6 >= first - F.lit(float(cfg.cooldown_seconds)))
+        since = from_epoch(first - F.lit(float(cfg.cooldown_seconds)))
+        recent = stored.where((F.col("day") >= F.to_date(since)) & (F.col("time") >= since))
         pool = pool.unionByName(recent.select(*names)).distinct()
     kept = candidates.join(apply_cooldown(pool, cfg), names, "left_semi")
     surfaced = anomaly_records(kept)

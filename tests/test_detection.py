@@ -1,7 +1,7 @@
 import pytest
 
 from surgemark.config import EngineConfig
-from surgemark.plans.detection import detect_anomalies
+from surgemark.plans.detection import attach_why, detect_anomalies, why_for
 from tests.conftest import make_events
 
 CFG = EngineConfig(zscore_threshold=3.0, ewma_threshold=3.0)
@@ -42,13 +42,8 @@ def test_three_detectors_still_see_the_spike(spark):
 
 
 def test_pruned_and_full_dimension_scan_agree(spark):
-    from surgemark.plans import detection
-
     ev = spike(spark)
-    pruned = detect_anomalies(ev, CFG).anomalies.select("id", "why").collect()
-    limit, detection.MAX_PRUNE_BUCKETS = detection.MAX_PRUNE_BUCKETS, 0
-    try:
-        full = detect_anomalies(ev, CFG).anomalies.select("id", "why").collect()
-    finally:
-        detection.MAX_PRUNE_BUCKETS = limit
-    assert pruned == full
+    d = detect_anomalies(ev, CFG)
+    full = attach_why(d.anomalies.drop("why"), why_for(d.anomalies, ev, CFG))
+    order = lambda df: sorted(tuple(r) for r in df.select("id", "why").collect())
+    assert order(d.anomalies) == order(full)

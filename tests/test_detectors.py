@@ -92,6 +92,28 @@ def test_long_constant_run_inside_ewma_slices(spark):
         assert got.flag == want["flag"] and abs(got.score - want["score"]) < 1e-6, i
 
 
+@pytest.mark.parametrize("changes", [
+    {"ewma_alpha": 0.5}, {"ewma_alpha": 0.9}, {"ewma_alpha": 0.96}, {"ewma_alpha": 0.99},
+    {"zscore_window": 9000}, {"hst_window": 5000}, {"zscore_window": 8600, "slice_windows": 4000}])
+def test_ewma_stays_exact_whatever_other_detectors_need(spark, changes):
+    rng = random.Random(3)
+    n = 9_500 if changes.get("zscore_window", 0) + changes.get("hst_window", 0) > 1000 else 900
+    values = [rng.randint(90, 110) for _ in range(n)]
+    cfg = CFG.with_(detectors=("ewma",), **changes)
+    rows = score_windows(make_windows(spark, values), cfg).orderBy("window_id").collect()
+    mean, var = 0.0, 0.0
+    for i, (row, v) in enumerate(zip(rows, values, strict=True)):
+        want, mean, var = ewma_step(mean, var, i + 1, float(v), cfg)
+        got = row.detectors[0]
+        assert got.flag == want["flag"] and abs(got.score - want["score"]) < 1e-6, i
+        assert abs(got.expected - want["expected"]) < 1e-6
+
+
+def test_slices_that_cannot_be_exact_are_rejected():
+    with pytest.raises(ValueError):
+        CFG.with_(slice_windows=20_000)
+
+
 def test_trees_sliced_equal_row_by_row(spark):
     rng = random.Random(2)
     values = [rng.randint(0, 20) + (60 if i % 50 == 0 else 0) for i in range(260)]

@@ -81,6 +81,38 @@ def test_bm25_ranks_with_a_group_limit_and_no_product(spark):
     assert "WindowGroupLimit" in text_plan and "CartesianProduct" not in text_plan
 
 
+def test_bm25_keeps_tokens_off_the_network(spark, tmp_path):
+    """Stored postings come from one scan: the small vocabulary is sent to the documents."""
+    from surgemark.plans import staging
+
+    stored = []
+    spark.createDataFrame([(i, f"alpha word{i} beta") for i in range(50)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    asked = spark.createDataFrame([(1, "alpha word3")], "query_id long, text string")
+    keep = text.stage
+    try:
+        text.stage = lambda df, name: (stored.append((name, plan(df))), staging.stage(df, name))[1]
+        out = text.bm25(docs, asked, 3).collect()
+    finally:
+        text.stage = keep
+    assert out[0].doc_id == 3
+    (_, _), (name, postings) = stored
+    assert name == "postings" and "BroadcastHashJoin LeftSemi" in postings and "hashpartitioning" not in postings
+
+
+def test_retention_prunes_days(spark, tmp_path):
+    from surgemark.operators import history
+
+    rows = spark.range(40).selectExpr("timestamp_seconds(86400 * id) as time", "id as n")
+    history.append_by_day(rows, f"{tmp_path}/m")
+    stored = spark.read.parquet(f"{tmp_path}/m")
+    kept = history.retain(stored, EngineConfig())
+    filters = re.findall(r"PartitionFilters: (.*)", plan(kept))
+    assert any("day" in f for f in filters)
+    assert sorted(r.n for r in kept.collect()) == list(range(32, 40))
+
+
 def test_every_query_has_sql(spark):
     assert set(q.QUERIES) == set(ORACLE)
 

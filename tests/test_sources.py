@@ -42,6 +42,22 @@ def test_recentchange_edges(spark):
     assert r[4].id == "5" and r[4].dims["domain"] == "?"
 
 
+def test_recentchange_times(spark):
+    """Any number a timestamp can hold is kept, milliseconds by mistake included."""
+    times = ["1.7e12", "1e13", '"NaN"', "-5"]
+    raw = spark.createDataFrame([(f'{{"timestamp": {t}}}', i) for i, t in enumerate(times)], "value string, seq long")
+    out = recentchange.normalise_recentchange(raw, ingest_time=F.lit(99.5), seq=F.col("seq"))
+    assert [r.us for r in out.orderBy("seq").select(F.unix_micros("ts").alias("us")).collect()] == [
+        1_700_000_000_000_000_000, 99_500_000, 99_500_000, -5_000_000]
+
+
+def test_recentchange_is_parsed_once(spark):
+    raw = spark.createDataFrame([("{}", 1)], "value string, seq long")
+    out = recentchange.normalise_recentchange(raw, ingest_time=F.lit(1.0), seq=F.col("seq"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1
+
+
 CAPTURE = (": hi\n\nid: 1\ndata: {\"a\":1}\ndata:  x\n\nevent: m\n\ndata:y\nid\n\nid: 7\r\n\r\n"
            "retry: 5\ndata: z\n\n\ndata: k\n\ndata: lost\n")
 
