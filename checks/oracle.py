@@ -621,6 +621,10 @@ t AS (SELECT series, window_id, count(*)::INT AS n_dims, arg_min(value, pos * 10
 SELECT w.*, n_dims, top_domain, top_cnt FROM w
 JOIN t ON t.series = w.series AND t.window_id = w.window_id
 WHERE (w.window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev)""",
+    "stream_fold": f"""WITH {EV},
+late AS (SELECT ev.*, max(CAST(floor(ts_us / 600000000) AS BIGINT)) OVER (
+           ORDER BY (seq + 37 * (seq % 11)) * 11 + seq % 11 ROWS UNBOUNDED PRECEDING) AS wid FROM ev),
+{windows(GLOBAL, 600, "late", "wid")} SELECT series, window_id, {', '.join(COUNT_NAMES)} FROM w""",
     "stream_scores": f"""{BY_TYPE_SCORES},
 closed AS (SELECT series, max(window_id) AS last FROM w
            WHERE (window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev) GROUP BY 1)

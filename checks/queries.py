@@ -631,6 +631,23 @@ def stream_scores(spark, sf):
         "series", "window_id", "name", "flag", half_up(F.col("score"), 6).alias("score"))
 
 
+def stream_fold(spark, sf):
+    """Late events folded over four micro-batches in order of arrival, then a final flush."""
+    root = stage_path(spark, "fold")
+    ev = events(spark, sf)
+    late = ev.withColumn("seq", (F.col("seq") + 37 * (F.col("seq") % 11)) * 11 + F.col("seq") % 11)
+    last = late.agg(F.max("seq").alias("m")).scalar()
+    late = stage(late.withColumn("quarter", F.floor(F.col("seq") * 4 / (last + 1))), "arrivals")
+    for quarter in range(4):
+        late.where(F.col("quarter") == quarter).drop("quarter").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    query = closing.fold_stream(stream, f"{root}/w", f"{root}/checkpoint", TWO)
+    query.awaitTermination()
+    closing.flush_open(spark, f"{root}/w", query.lastProgress["batchId"], TWO)
+    closed = spark.read.option("recursiveFileLookup", "true").schema(closing.CLOSED_SCHEMA).parquet(f"{root}/w/closed")
+    return closed.select("series", "window_id", *win.COUNTS)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -651,6 +668,6 @@ QUERIES: dict[str, Query] = {
         health_duration_p95,
         metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
         bm25, keyword_category,
-        stream_windows, stream_scores,
+        stream_windows, stream_scores, stream_fold,
     )
 }

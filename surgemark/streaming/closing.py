@@ -112,7 +112,8 @@ def fold_batch(
     Events of the still open windows wait in ``<path>/open/<batch>``; together with the
     new events they are folded by the batch operator and whatever lies before the open
     window of its series goes to ``<path>/closed/batch=<batch>``. Both are overwritten by
-    batch number, so a retried batch ends in the same state.
+    batch number, so a retried batch ends in the same state; what older batches left
+    waiting is deleted.
     """
     spark = batch.sparkSession
     fresh = (
@@ -125,7 +126,17 @@ def fold_batch(
     split = placed.join(current, "series")
     split.where("window_id = _open").drop("_open").write.mode("overwrite").parquet(
         f"{path}/open/{batch_id}")
-    done = split.where("window_id < _open").drop("_open")
+    _write_closed(split.where("window_id < _open").drop("_open"), f"{path}/closed/batch={batch_id}", cfg)
+    if batch_id > 1:                  # the batch before this one is committed, so nothing reads it again
+        _forget(spark, f"{path}/open/{batch_id - 2}")
+
+
+def _forget(spark, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _write_closed(done: DataFrame, path: str, cfg: EngineConfig) -> None:
     topk = dim_topk(dim_counts(done, cfg, placed=done), cfg)
     nested = topk.groupBy("series", "window_id").agg(
         F.array_sort(F.collect_list(F.struct("dim", "rk", "value", "cnt"))).alias("dims"))
@@ -133,10 +144,17 @@ def fold_batch(
     (
         count_windows(done).join(nested, ["series", "window_id"], "left")
         .withColumn("dims", F.coalesce("dims", empty))
-        .write.mode("overwrite").parquet(f"{path}/closed/batch={batch_id}")
+        .write.mode("overwrite").parquet(path)
     )
 
 
+def flush_open(spark, path: str, batch_id: int, cfg: EngineConfig) -> None:
+    """Close the windows still open after batch ``batch_id``, once no event will follow."""
+    waiting = _table(spark, f"{path}/open/{batch_id}")
+    if waiting is not None:
+        _write_closed(waiting, f"{path}/closed/batch={batch_id + 1}", cfg)
+
+
 def fold_stream(
     events: DataFrame, path: str, checkpoint: str, cfg: EngineConfig,
     series_cols: Sequence[str] = (), **trigger,

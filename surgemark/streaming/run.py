@@ -16,7 +16,7 @@ from surgemark.operators.history import anomaly_table, append_idempotent, metric
 from surgemark.operators.windows import derived_columns
 from surgemark.plans.detection import attach_why
 from surgemark.sources.jsonl import parse_recorded
-from surgemark.streaming.closing import closed_windows
+from surgemark.streaming.closing import closed_windows, fold_stream, read_closed
 from surgemark.streaming.scoring import score_stream
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -114,8 +114,20 @@ def stream_anomalies(
     series_cols: Sequence[str] = (), delay: str = "0 seconds", idle: bool = False,
     on_metric=None, on_anomaly=None, **trigger,
 ) -> StreamingQuery:
-    """Event stream to stored metrics and anomalies under a watermark."""
+    """Event stream to stored metrics and anomalies, under the late policy of ``cfg``.
+
+    With ``late="fold"`` no event is dropped: a first query closes windows by arrival, and
+    the scorer follows the windows it has written. Under ``event_time`` events later than
+    ``delay`` are dropped by the watermark.
+    """
     configure(events.sparkSession)
+    if cfg.late == "fold":
+        folding = fold_stream(events, f"{path}/fold", f"{checkpoint}/fold", cfg, series_cols, **trigger)
+        if not trigger or "availableNow" in trigger:
+            folding.awaitTermination()
+        return stream_scored(
+            score_stream(read_closed(events.sparkSession, f"{path}/fold"), cfg), path, f"{checkpoint}/score", cfg,
+            on_metric, on_anomaly, **trigger)
     closed = closed_windows(events, cfg, series_cols, delay)
     return stream_scored(
         score_stream(closed, cfg, idle), path, checkpoint, cfg, on_metric, on_anomaly, **trigger)
@@ -124,13 +136,15 @@ def stream_anomalies(
 class BatchDurations(StreamingQueryListener):
     """Collects one (epoch seconds, batch seconds) pair per micro-batch for the p95 panel.
 
-    Only progress summaries reach the driver; the list keeps the newest ``keep``.
+    Only progress summaries reach the driver. With a ``path`` every ``keep`` pairs are
+    appended to a table there, so a query that runs for years holds no more; no pair is lost.
     """
 
-    def __init__(self, keep: int = 100_000) -> None:
-        from collections import deque
+    def __init__(self, path: str | None = None, keep: int = 1_000) -> None:
+        self.rows, self.path, self.keep = [], path, keep
 
-        self.rows = deque(maxlen=keep)
+    def _table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.rows), "at double, seconds double")
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -141,6 +155,9 @@ class BatchDurations(StreamingQueryListener):
         p = event.progress
         at = datetime.fromisoformat(p.timestamp.replace("Z", "+00:00")).timestamp()
         self.rows.append((at, p.batchDuration / 1000.0))
+        if self.path is not None and len(self.rows) >= self.keep:
+            self._table(SparkSession.active()).coalesce(1).write.mode("append").parquet(self.path)
+            self.rows = []
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -149,4 +166,8 @@ class BatchDurations(StreamingQueryListener):
         pass
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), "at double, seconds double")
+        held = self._table(spark)
+        try:
+            return held if self.path is None else held.unionByName(spark.read.parquet(self.path))
+        except AnalysisException:         # nothing written yet
+            return held

@@ -145,6 +145,23 @@ def test_fold_stream_keeps_every_event(spark, tmp_path, small_shuffle):
         assert r.n == r.b - r.a + 1
 
 
+def test_fold_policy_reaches_the_sinks(spark, tmp_path, small_shuffle):
+    """Late events are counted in the open window, end to end; open events of old batches go."""
+    cfg = CFG.with_(late="fold")
+    rows = [{"t": 10 * i + 1, "seq": i} for i in range(12)]
+    rows[8]["t"] = 5                      # late: falls into the window open at its arrival
+    for i in range(4):
+        make_events(spark, rows[3 * i:3 * i + 3]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(make_events(spark, rows[:1]).schema).option("maxFilesPerTrigger", 1).parquet(
+        str(tmp_path / "in"))
+    run.stream_anomalies(stream, str(tmp_path / "out"), str(tmp_path / "ck"), cfg).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "out" / "metrics"))
+    closed = spark.read.option("recursiveFileLookup", "true").schema(closing.CLOSED_SCHEMA).parquet(
+        str(tmp_path / "out" / "fold" / "closed"))
+    assert stored.agg(F.sum("count")).first()[0] == closed.agg(F.sum("count")).first()[0] == 11
+    assert sorted(p.name for p in (tmp_path / "out" / "fold" / "open").iterdir() if p.is_dir()) == ["2", "3"]
+
+
 def test_idle_series_emits_empty_windows(spark, tmp_path, small_shuffle):
     rows = [{"t": t, "kind": "a"} for t in (0, 11, 21)] + [{"t": t, "kind": "b"} for t in (25, 61, 101, 141)]
     ev = make_events(spark, [{**r, "seq": i} for i, r in enumerate(rows)])
