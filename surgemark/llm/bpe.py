@@ -11,7 +11,7 @@ end in a word-end mark. A word is then encoded exactly and in linear time:
   ones, and step back where none fits, never to a place twice. The sequence found is the
   one that merging gives.
 
-Words repeat, so a task keeps the ids of the words it has met, up to a fixed number.
+Words repeat, so a worker keeps the ids of the words it has met, up to a fixed number.
 
 Odd input: a null text is an empty text and has no ids; any length works; rows repeated
 with one doc_id give one row each; an empty table gives no rows; other columns are ignored.
@@ -33,7 +33,8 @@ from surgemark.llm.common import text_or_empty
 
 WORD_END = "</w>"
 MARK = "\U0010FFFF"            # the word end as one letter, for the automaton
-WORDS_KEPT = 400_000          # words a task remembers; the oldest lot is forgotten beyond it
+WORDS_KEPT = 400_000          # words a Python worker remembers
+PAIRS_KEPT = 500_000          # pairs of tokens in its compatibility table
 
 
 def byte_letters() -> list[str]:
@@ -114,7 +115,7 @@ class WordEncoder:
 
     def compatible(self, a: int, b: int) -> bool:
         """A new entry of the pair table: the tokens stay apart when their joined text is merged."""
-        if len(self.fits) > 4 * WORDS_KEPT:
+        if len(self.fits) > PAIRS_KEPT:
             self.fits.clear()
         known = self.fits[a, b] = self.apart(a, b)
         return known
@@ -196,13 +197,23 @@ class TextCodec:
         """All ids as little-endian unsigned 32-bit integers."""
         cache = self.cache
         pieces = text.replace("\n", " ").replace("\t", " ").split(" ")
-        missing = set(pieces).difference(cache)
-        if missing:
-            if len(cache) + len(missing) > WORDS_KEPT:
-                cache.clear()
-                missing = set(pieces)
-            cache.update((p, self.piece(p)) for p in missing)
-        return b"".join(map(cache.__getitem__, pieces))
+        missing = list(set(pieces).difference(cache))
+        cache.update((p, self.piece(p)) for p in missing)
+        ids = b"".join(map(cache.__getitem__, pieces))
+        # What comes early is common, so a full memory keeps what it has.
+        for p in missing[:max(0, len(cache) - WORDS_KEPT)]:
+            del cache[p]
+        return ids
+
+    @classmethod
+    def of_worker(cls, path: str) -> "TextCodec":
+        """The codec of this Python worker, which runs many tasks and keeps what it has met."""
+        import ahocorasick
+
+        kept = vars(ahocorasick).setdefault("_codecs_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def decode(self, ids: bytes, block: int = 1 << 20) -> Iterator[bytes]:
         """The text of the ids, in bounded parts: gather each token's bytes by its offset."""
@@ -221,7 +232,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = TextCodec(tokenizer_path)
+        codec = TextCodec.of_worker(tokenizer_path)
         for batch in batches:
             sizes, id_hash, text_hash = [], [], []
             for text in batch.column(1):
