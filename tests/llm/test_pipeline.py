@@ -2,7 +2,7 @@ import brute
 import pytest
 
 import corpus_pipeline
-from surgemark.llm import registry
+from surgemark.llm import registry, toxicity
 from surgemark.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +36,8 @@ def test_stages_do_what_they_say(spark):
     before, after = kept["toxicity"]
     toxic = {r.doc_id for r in table(spark, SF, "labels").where("toxic = 1").collect()}
     gone = {d for d, _ in before} - {r.doc_id for r in after}
-    assert len(gone & toxic) > 0.6 * len(toxic) and len(gone) < 2.5 * len(toxic) / 0.43
+    rated = toxicity.toxicity(table(spark, SF, "documents"), table(spark, SF, "labels")).collect()
+    assert gone == {r.doc_id for r in rated if r.predicted} and len(gone & toxic) > len(toxic) / 2
 
 
 def test_stages_on_odd_rows(spark, make_docs, odd, tmp_path):
