@@ -473,6 +473,14 @@ SELECT window_id, name, {r("v", 6, "v")} FROM (
     "zscore": one_detector("z", zscore("(count / 600.0::DOUBLE)"), GLOBAL, 600),
     "zscore_both": one_detector("z", zscore("(bytes_changed / 3600.0::DOUBLE)", direction="both"), TYPE, 3600),
     "ewma": one_detector("e", ewma("(count / 600.0::DOUBLE)"), GLOBAL, 600),
+    "registered_detector": f"""{D600}
+SELECT series, window_id, count > 18 AS flag, CASE WHEN count > 18 THEN 1.0 ELSE 0.0 END::DOUBLE AS score,
+       count::DOUBLE AS value, 18.0::DOUBLE AS expected FROM dense""",
+    "source_registry": f"""WITH {EV},
+o AS (SELECT epoch_us(o_orderdate) AS ts_us, CAST(floor(o_totalprice) AS BIGINT) AS b FROM orders)
+SELECT name, count(*) AS n, sum(bytes_delta)::BIGINT AS bytes, count(*) FILTER (bot) AS bots, min(ts_us) AS first_us
+FROM ev, (VALUES ('events'), ('jsonl')) v(name) GROUP BY 1
+UNION ALL SELECT 'orders', count(*), sum(b)::BIGINT, 0, min(ts_us) FROM o""",
     "ewma_fast": one_detector("e", ewma("(count / 600.0::DOUBLE)", alpha=0.96), GLOBAL, 600),
     "ewma_long_history": one_detector("e", ewma("(count / 300.0::DOUBLE)"), GLOBAL, 300),
     "ewma_down": one_detector("e", ewma("(count / 3600.0::DOUBLE)", direction="down"), TYPE, 3600),

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import epoch, half_up, with_series
-from surgemark.operators import frames, health, history, ingest, report, series, text, windows as win
+from surgemark.operators import detectors, frames, health, history, ingest, report, series, text, windows as win
 from surgemark.operators.ensemble import anomaly_records, apply_cooldown, ensemble
 from surgemark.operators.explain import baselines
 from surgemark.plans.detection import (
     Detection, detect_anomalies, explode_results, score_windows, surfaced_windows, why_for,
 )
 from surgemark.plans.staging import stage, stage_path, stage_root
-from surgemark.sources import capture, jsonl, recentchange, tables
+from surgemark.sources import capture, jsonl, recentchange, registry, tables
 from surgemark.streaming import closing, run, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +143,20 @@ def jsonl_replay(spark, sf):
     return flat_events(jsonl.read_recording(spark, path))
 
 
+def source_registry(spark, sf):
+    """Every table and recording read through the registry, by name."""
+    recording = stage_path(spark, "recording")
+    jsonl.record_events(events(spark, sf), recording)
+    places = {"events": f"{sf}/events.parquet", "orders": f"{sf}/orders.parquet", "jsonl": recording}
+    out = None
+    for name, place in places.items():
+        rows = registry.read_events(spark, name, place).groupBy().agg(
+            F.count(F.lit(1)).alias("n"), F.sum("bytes_delta").alias("bytes"), F.count_if("bot").alias("bots"),
+            F.min(F.unix_micros("ts")).alias("first_us")).select(F.lit(name).alias("name"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def dedupe(spark, sf):
     ev = events(spark, sf)
     doubled = ev.unionByName(ev.where("bot"))
@@ -258,6 +272,26 @@ def ewma_long_history(spark, sf):
     return result_view(scored(spark, sf, cfg), "ewma")
 
 
+class Ceiling(detectors.Detector):
+    """A detector of the user's own: a fixed upper bound."""
+
+    name = "ceiling"
+    most = 18
+
+    def apply(self, frame, cfg):
+        over = F.col("count") > self.most
+        return frame.withColumn(self.name, detectors.result_struct(
+            self.name, over, F.when(over, F.lit(1.0)).otherwise(0.0), F.col("count"), F.lit(float(self.most))))
+
+
+def registered_detector(spark, sf):
+    """A fourth detector, registered by name, beside a built-in one."""
+    detectors.register(Ceiling())
+    s = scored(spark, sf, TWO.with_(detectors=("zscore", "ceiling")))
+    return explode_results(s).where("name = 'ceiling'").select(
+        "series", "window_id", "flag", "score", "value", "expected")
+
+
 def ewma_down(spark, sf):
     cfg = HOURLY.with_(detectors=("ewma",), direction="down")
     return result_view(scored(spark, sf, cfg, BY_TYPE), "ewma")
@@ -343,9 +377,9 @@ def anomalies_explained(spark, sf):
 
 def incident_window(spark, sf):
     cfg = TWO.with_(incident_pad=3600.0)
-    s = scored(spark, sf)
-    a = stage(surfaced_windows(s, TWO, staged=True), "surfaced")
-    w = win.fill_gaps(stage(win.window_metrics(events(spark, sf), TWO), "windows"), TWO)
+    stored = stage(win.window_metrics(events(spark, sf), TWO), "windows")
+    a = stage(surfaced_windows(score_windows(stored, TWO), TWO, staged=True), "surfaced")
+    w = win.fill_gaps(stored, TWO)
     return history.incidents(a, w, cfg).select("anomaly_id", "anomaly_ts", "window_id", "count", "rate")
 
 
@@ -377,7 +411,8 @@ def last_windows(spark, sf):
 
 def snapshot(spark, sf):
     s = scored(spark, sf, HOURLY, BY_TYPE)
-    shot = history.snapshot(s.drop("metric", "fired"), surfaced_by_type(spark, sf), HOURLY)
+    found = stage(surfaced_windows(s, HOURLY, staged=True), "surfaced")
+    shot = history.snapshot(s.drop("metric", "fired"), found, HOURLY)
     return shot.select(
         F.size("metrics").alias("n_metrics"), F.size("anomalies").alias("n_anomalies"),
         F.element_at("metrics", -1)["window_end"].alias("last_end"), "tick_seconds")
@@ -651,11 +686,11 @@ def stream_fold(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        normalise_events, normalise_orders, recentchange_normalise, sse_capture, jsonl_replay,
+        normalise_events, normalise_orders, recentchange_normalise, sse_capture, jsonl_replay, source_registry,
         dedupe, rate_cap, rate_drops, retime, replay_gaps,
         window_metrics, window_metrics_by_type, orders_windows, window_metrics_gapfilled,
         flush_windows, fold_late_windows, feature_vector, dim_counts, dim_topk,
-        zscore, zscore_both, ewma, ewma_fast, ewma_long_history, ewma_down, hst, detector_results,
+        zscore, zscore_both, registered_detector, ewma, ewma_fast, ewma_long_history, ewma_down, hst, detector_results,
         ensemble_candidates, cooldown, anomalies, anomalies_three_detectors, baseline, why,
         anomalies_explained,
         incident_window, recent_metrics, recent_metrics_as_of, recent_anomalies, anomaly_listing,
