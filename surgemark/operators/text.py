@@ -45,8 +45,7 @@ def document_text(columns: Sequence[str]) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-cased runs of letters, digits and underscores, at least three long."""
-    words = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_]+", " "), " ")
-    return F.filter(words, lambda w: F.char_length(w) >= MIN_TOKEN)
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"[\p{{L}}\p{{N}}_]{{{MIN_TOKEN},}}"), F.lit(0))
 
 
 def bm25(
@@ -56,10 +55,10 @@ def bm25(
     """Best ``n`` documents of each query: (query_id, doc_id, score, rank).
 
     The query vocabulary is stored first, so the planner knows its size: as long as it can
-    be sent everywhere, each document is tokenised once and only its postings of query terms,
-    and one row with its length, are kept, without an exchange. These are stored when
-    ``staged`` and combined before any shuffle. Ties go to the smaller document id, scores
-    being compared at nine decimals so that the order terms are summed in cannot decide.
+    be sent everywhere, each document is tokenised once, and only its postings of query terms
+    and one row with its length leave the map side, combined there. They are stored when
+    ``staged``. Ties go to the smaller document id, scores being compared at nine decimals
+    so that the order terms are summed in cannot decide.
     """
     asked = (
         queries.select(F.col(query_id).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
@@ -72,13 +71,14 @@ def bm25(
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")
     ).select("doc_id", F.size("words").alias("len"), F.explode(F.array_append("words", "")).alias("term"))
-    found = rows.join(vocabulary, "term", "left_semi")
+    found = rows.join(vocabulary, "term", "left_semi").groupBy("term", "doc_id", "len").agg(
+        F.count(F.lit(1)).alias("tf"))
     if staged:
         found = stage(found, "postings")
     totals = found.where("term = ''").agg(
         F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("len").alias("avg_len"))
     )
-    postings = found.where("term <> ''").groupBy("term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
+    postings = found.where("term <> ''")
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     terms = (
         asked.join(frequency, "term")

@@ -82,7 +82,7 @@ def test_bm25_ranks_with_a_group_limit_and_no_product(spark):
 
 
 def test_bm25_keeps_tokens_off_the_network(spark, tmp_path):
-    """Stored postings come from one scan: the small vocabulary is sent to the documents."""
+    """The small vocabulary is sent to the documents; postings are combined, then exchanged."""
     from surgemark.plans import staging
 
     stored = []
@@ -98,7 +98,9 @@ def test_bm25_keeps_tokens_off_the_network(spark, tmp_path):
         text.stage = keep
     assert out[0].doc_id == 3
     (_, _), (name, postings) = stored
-    assert name == "postings" and "BroadcastHashJoin LeftSemi" in postings and "hashpartitioning" not in postings
+    assert name == "postings" and "BroadcastHashJoin LeftSemi" in postings
+    exchanged = re.findall(r"Arguments: hashpartitioning\(term#\w+, doc_id#\w+, len#\w+", postings)
+    assert len(exchanged) == postings.count("hashpartitioning") == 1 and "partial_count" in postings
 
 
 def test_retention_prunes_days(spark, tmp_path):
