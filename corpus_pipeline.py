@@ -1,7 +1,7 @@
 """The text pipeline: each stage works on what the one before it kept.
 
 toxicity drops toxic documents, exact_dedup keeps one of equal texts, near_dedup one of each
-near-duplicate group, repeats cuts long repeated passages, and packing lays what is left out
+near-duplicate group, repeats cuts repeated passages of over 50 words or from 400 bytes, and packing lays what is left out
 in sequences. All but the last return the columns of ``documents``. A stage's result is
 written to the shared folder and read again as the next one's input.
 """
@@ -15,6 +15,9 @@ from surgemark.llm.common import table
 from surgemark.plans.staging import stage
 
 
+PASSAGE = 51                  # words from which a shared passage is long; so are repeats.LENGTH bytes
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
@@ -28,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(docs)
+    return repeats.remove_repeats(docs, words=PASSAGE)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

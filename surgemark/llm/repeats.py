@@ -1,9 +1,12 @@
 """Long repeated passages, found by common-prefix interval trees of a suffix array.
 
-Every byte covered by a ``LENGTH``-byte string that also starts anywhere else is a repeat.
+Every byte covered by a ``LENGTH``-byte string that also starts anywhere else is a repeat;
+``length`` and ``words`` set other limits. With ``words``, so is every passage of as many
+blank-separated words that is met again, however short in bytes: the method runs once more
+over the texts' words, each coded as a hash of ``CODE`` bytes.
 
 1. Anchors. Each window of ``LENGTH`` bytes picks the smallest of the hashes of its
-   ``GRAM``-byte strings. Equal windows pick the same string at the same offset, so windows
+   ``gram``-byte strings. Equal windows pick the same string at the same offset, so windows
    are compared only where they hang on equal anchors; one anchor serves a run of windows.
 2. Whole runs. Runs with the same bytes around the same anchor (128-bit digest) are
    repeats of each other as they stand.
@@ -28,6 +31,7 @@ an empty table gives no rows; other columns are ignored, or returned unchanged b
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +42,17 @@ from surgemark.llm.common import text_or_empty
 from surgemark.plans.staging import stage
 
 LENGTH = 400
-GRAM = 128
-OFFSETS = LENGTH - GRAM + 1   # places of an anchor in a window
+CODE = 8                      # bytes of a word's hash
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BUCKET = 512                  # runs that one task compares with each other
 BLOCK = 1 << 19               # windows of a text that are hashed at a time
 
+
+def gram(length: int) -> int:
+    """Bytes of an anchor; it has ``length - gram(length) + 1`` places in a window."""
+    return max(1, length * 8 // 25)
+
+
 # A run of windows: its row (a 128-bit digest of id and text), anchor and first and last
 # window; the anchor's key, the digest of the run's bytes, and how often it is known to occur.
 RUN = "k1 long, k2 long, x long, lo long, hi long, key1 long, key2 long, c1 long, c2 long, n long"
@@ -51,9 +61,10 @@ RUN = "k1 long, k2 long, x long, lo long, hi long, key1 long, key2 long, c1 long
 # --- anchors -------------------------------------------------------------------------
 
 class GramHasher:
-    """Hashes of all GRAM-byte strings of a text block: prefix sums of a polynomial."""
+    """Hashes of all ``gram``-byte strings of a text block: prefix sums of a polynomial."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, gram: int):
+        self.gram = gram
         rng = np.random.default_rng(400)
         base = np.uint64(6364136223846793005)
         inverse = np.uint64(pow(int(base), -1, 2**64))
@@ -64,7 +75,7 @@ class GramHasher:
     def __call__(self, data: np.ndarray) -> np.ndarray:
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.table[data] * self.power[:len(data)], out=sums[1:])
-        h = (sums[GRAM:] - sums[:-GRAM]) * self.back[:len(data) - GRAM + 1]
+        h = (sums[self.gram:] - sums[:-self.gram]) * self.back[:len(data) - self.gram + 1]
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
@@ -82,27 +93,27 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
-def runs(data: np.ndarray, hasher: GramHasher) -> Iterator[tuple[np.ndarray, ...]]:
+def runs(data: np.ndarray, hasher: GramHasher, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """x, lo, hi, anchor hash: windows lo..hi (their starts) hang on the anchor at x."""
     place = np.uint64((1 << 20) - 1)
-    for s in range(0, len(data) - LENGTH + 1, BLOCK):
-        part = data[s:s + BLOCK + LENGTH - 1]
+    for s in range(0, len(data) - length + 1, BLOCK):
+        part = data[s:s + BLOCK + length - 1]
         h = hasher(part)
         ranked = (h & ~place) | np.arange(len(h), dtype=np.uint64)
-        anchor = (sliding_min(ranked, OFFSETS) & place).astype(np.int64)
+        anchor = (sliding_min(ranked, length - hasher.gram + 1) & place).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
         last = np.concatenate([first[1:], [len(anchor)]]) - 1
         x = anchor[first]
         yield x + s, first + s, last + s, h[x].view(np.int64)
 
 
-def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of half-open spans; touching spans are one."""
+def merged(start: np.ndarray, end: np.ndarray, touching: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of half-open spans; touching spans are one, if asked for."""
     if not len(start):
         return start, end
     order = np.argsort(start, kind="stable")
     start, end = start[order], np.maximum.accumulate(end[order])
-    new = np.concatenate([[True], start[1:] > end[:-1]])
+    new = np.concatenate([[True], start[1:] >= end[:-1] + touching])
     return start[new], end[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(end) - 1]])]
 
 
@@ -114,7 +125,7 @@ def _rows(schema: str, *columns) -> pa.RecordBatch:
          for (_, k), c in zip(fields, columns)], names=[f[0] for f in fields])
 
 
-def _settle(k: np.ndarray, x, lo, hi, key: np.ndarray, digests: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _settle(k: np.ndarray, x, lo, hi, key: np.ndarray, digests: list[bytes], length: int) -> Iterator[pa.RecordBatch]:
     """RUN rows; of runs met twice here, the first goes on and the spans of all are settled."""
     joined = b"".join(digests)
     c = np.frombuffer(joined, "<i8").reshape(-1, 2)
@@ -127,19 +138,19 @@ def _settle(k: np.ndarray, x, lo, hi, key: np.ndarray, digests: list[bytes]) ->
         # One row after the other, far apart, so that spans merge within rows only.
         rows, row = np.unique(k[twice], axis=0, return_inverse=True)
         shift = row.ravel().astype(np.int64) << 40
-        s, e = merged(lo[twice] + shift, hi[twice] + LENGTH + shift)
+        s, e = merged(lo[twice] + shift, hi[twice] + length + shift, touching=False)
         of = rows[s >> 40]
         yield _rows(RUN, of[:, 0], of[:, 1], None, s & (1 << 40) - 1, e & (1 << 40) - 1, None, None, None, None, None)
 
 
-def anchors(docs: DataFrame) -> DataFrame:
+def anchors(docs: DataFrame, length: int) -> DataFrame:
     """RUN rows of all texts (k1, k2, text). A row without key is a span lo..hi to remove."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         digest = xxhash.xxh3_128_digest
-        hasher = GramHasher(BLOCK + LENGTH)
+        hasher = GramHasher(BLOCK + length, gram(length))
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 batch = whole.slice(at, 2000)
@@ -147,15 +158,15 @@ def anchors(docs: DataFrame) -> DataFrame:
                 found, rows, digests = [], [], []
                 for row, text in enumerate(batch.column(2)):
                     text = text.as_py()
-                    for part in runs(np.frombuffer(text, np.uint8), hasher):
+                    for part in runs(np.frombuffer(text, np.uint8), hasher, length):
                         found.append(np.stack(part))
                         rows.append(np.full(len(part[0]), row))
-                        digests += [digest(text[lo:hi + LENGTH], x - lo)
+                        digests += [digest(text[lo:hi + length], x - lo)
                                     for x, lo, hi in zip(*(c.tolist() for c in part[:3]))]
                 if found:
                     x, lo, hi, h = np.concatenate(found, axis=1)
                     yield from _settle(ids[np.concatenate(rows)], x, lo, hi,
-                                       np.stack([h, np.zeros_like(h)], axis=1), digests)
+                                       np.stack([h, np.zeros_like(h)], axis=1), digests, length)
 
     return docs.mapInArrow(run, RUN)
 
@@ -188,7 +199,7 @@ def classify(found: DataFrame) -> DataFrame:
 CONTEXT = "key1 long, key2 long, size long, k1 long, k2 long, x long, lo long, hi long, back binary, ahead binary"
 
 
-def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes around each wanted run: backwards from its anchor, and from it onwards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +210,7 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 k = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 for r in batch.column(3)[row].as_py():
                     x, lo, hi = r["x"], r["lo"], r["hi"]
-                    out.append((r["key1"], r["key2"], r["size"], *k, x, lo, hi, text[lo:x][::-1], text[x:hi + LENGTH]))
+                    out.append((r["key1"], r["key2"], r["size"], *k, x, lo, hi, text[lo:x][::-1], text[x:hi + length]))
                 if len(out) > 5000:
                     yield _rows(CONTEXT, *zip(*out))
                     out = []
@@ -235,12 +246,12 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
-def repeat_groups(ahead: list[bytes], back: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def repeat_groups(ahead: list[bytes], back: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Repeat groups of a bucket: depth, members, and how far each member's match extends left.
 
     ``ahead`` is sorted. A group's match reaches from up to ``depth`` bytes after the anchor
     to the given number before it. Members whose left contexts do not extend far enough for
-    ``LENGTH`` bytes in all are left out; so is an interval in which none do.
+    ``length`` bytes in all are left out; so is an interval in which none do.
     """
     n = len(ahead)
     lcp = [common_prefix(ahead[i], ahead[i + 1]) for i in range(n - 1)]
@@ -254,7 +265,7 @@ def repeat_groups(ahead: list[bytes], back: list[bytes]) -> Iterator[tuple[int,
         # The common left context of neighbours: the least on the way from one to the next.
         agree = np.minimum.reduceat(left[:at[-1] + 1], at[:-1] + 1)
         reach = np.maximum(np.concatenate([[0], agree]), np.concatenate([agree, [0]]))
-        far = (reach + depth >= LENGTH) & (reach > 0) | (depth >= LENGTH)
+        far = (reach + depth >= length) & (reach > 0) | (depth >= length)
         if far.any():
             yield depth, members[far], reach[far]
 
@@ -262,18 +273,18 @@ def repeat_groups(ahead: list[bytes], back: list[bytes]) -> Iterator[tuple[int,
 SPAN = "k1 long, k2 long, lo long, hi long"
 
 
-def bucket_spans(found: DataFrame) -> DataFrame:
+def bucket_spans(found: DataFrame, length: int) -> DataFrame:
     """Spans k1, k2, lo, hi (end) that repeat, from buckets of at most ``BUCKET`` runs."""
 
     def spans(group: list[tuple]) -> list[tuple]:
         out = []
-        for depth, members, reach in repeat_groups([g[7] for g in group], [g[6] for g in group]):
+        for depth, members, reach in repeat_groups([g[7] for g in group], [g[6] for g in group], length):
             for m, r in zip(members.tolist(), reach.tolist()):
                 _, k1, k2, x, lo, hi, _, _ = group[m]
                 # Offsets of windows in the match, within this run.
-                low, high = max(LENGTH - depth, x - hi), min(r, x - lo)
+                low, high = max(length - depth, x - hi), min(r, x - lo)
                 if low <= high:
-                    out.append((k1, k2, x - high, x - low + LENGTH))
+                    out.append((k1, k2, x - high, x - low + length))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,9 +306,11 @@ def bucket_spans(found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, SPAN)
 
 
-def halves(found: DataFrame, width: int) -> DataFrame:
+def halves(found: DataFrame, width: int, length: int) -> DataFrame:
     """Cut the runs of full buckets on a grid of ``width`` offsets: RUN rows with their bytes."""
 
+    offsets = length - gram(length) + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -306,10 +319,10 @@ def halves(found: DataFrame, width: int) -> DataFrame:
             out: list[tuple] = []
             for key1, key2, _, k1, k2, x, lo, hi, back, ahead in zip(*(c.to_pylist() for c in batch.columns)):
                 for cell in range((x - hi) // width, (x - lo) // width + 1):
-                    g0, g1 = cell * width, min((cell + 1) * width, OFFSETS) - 1
+                    g0, g1 = cell * width, min((cell + 1) * width, offsets) - 1
                     d0, d1 = max(g0, x - hi), min(g1, x - lo)
-                    b, a = back[:d1], ahead[:LENGTH - d0]
-                    core = digest(back[:g0][::-1] + ahead[:LENGTH - g1] + b"%d,%d" % (g0, key2), key1 % 2**64)
+                    b, a = back[:d1], ahead[:length - d0]
+                    core = digest(back[:g0][::-1] + ahead[:length - g1] + b"%d,%d" % (g0, key2), key1 % 2**64)
                     own = digest(b[::-1] + a, d1 << 20 | d0)
                     out.append((k1, k2, x, x - d1, x - d0,
                                 *np.frombuffer(core, "<i8").tolist(), *np.frombuffer(own, "<i8").tolist(), 1, b, a))
@@ -319,24 +332,24 @@ def halves(found: DataFrame, width: int) -> DataFrame:
     return found.mapInArrow(run, RUN + ", back binary, ahead binary")
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Spans k1, k2, lo, hi (end) of repeats in ``docs`` (k1, k2, text as bytes); may overlap."""
-    found = stage(anchors(docs), "repeat-anchors")
+    found = stage(anchors(docs, length), "repeat-anchors")
     seen = stage(classify(found), "repeat-classes")
     # Runs that occur twice are repeats; of those with one key and different bytes, one each is compared.
     spans = [found.where("key1 is null").select("k1", "k2", "lo", "hi"),
-             seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + LENGTH).alias("hi"))]
-    compared = stage(contexts(docs, seen.where("first and size > 1")), "repeat-contexts")
-    spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET)))
+             seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + length).alias("hi"))]
+    compared = stage(contexts(docs, seen.where("first and size > 1"), length), "repeat-contexts")
+    spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET), length))
     full = compared.where(F.col("size") > BUCKET)
-    width = 1 << (OFFSETS - 1).bit_length()
+    width = 1 << (length - gram(length)).bit_length()
     while width > 1 and not full.isEmpty():
         width //= 2
-        found = stage(halves(full, width), "repeat-halves")
+        found = stage(halves(full, width, length), "repeat-halves")
         seen = stage(classify(found), "repeat-classes")
-        spans.append(seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + LENGTH).alias("hi")))
+        spans.append(seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + length).alias("hi")))
         compared = seen.where("first and size > 1").select(*[f.split()[0] for f in CONTEXT.split(", ")])
-        spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET)))
+        spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET), length))
         full = compared.where(F.col("size") > BUCKET)
     out = spans[0]
     for more in spans[1:]:
@@ -354,16 +367,42 @@ def _with_keys(docs: DataFrame) -> DataFrame:
                       F.xxhash64(F.lit(1), text, "row.doc_id").alias("k2"), text.cast("binary").alias("text"))
 
 
-def _spans_of(docs: DataFrame) -> DataFrame:
-    spans = repeated_spans(docs.select("k1", "k2", "text"))
-    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+def coded(docs: DataFrame) -> DataFrame:
+    """``docs`` (k1, k2, text as bytes) with each word coded in ``CODE`` bytes, and no blanks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            texts = [b"".join(map(xxhash.xxh64_digest, t.as_py().split())) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["k1", "k2", "text"])
+
+    return docs.mapInArrow(run, "k1 long, k2 long, text binary")
+
+
+def _spans_of(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """spans of each row (k1, k2) with repeats; ``word`` says that they are in coded words."""
+    texts = docs.select("k1", "k2", "text")
+    spans = repeated_spans(texts, length).withColumn("word", F.lit(False))
+    if words:
+        spans = spans.unionByName(repeated_spans(coded(texts), words * CODE).withColumn("word", F.lit(True)))
+    return spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi", "word")).alias("spans"))
 
 
 def _kept(text: bytes, spans: list[dict] | None) -> tuple[list[bytes], int, int]:
     """The bytes that stay, in pieces; how many go, in how many runs."""
     if not spans:
         return [text], 0, 0
-    s, e = merged(np.array([x["lo"] for x in spans]), np.array([x["hi"] for x in spans]))
+    lo, hi = ([x[c] for x in spans if not x["word"]] for c in ("lo", "hi"))
+    if by_word := [x for x in spans if x["word"]]:
+        place = [m.span() for m in WORD.finditer(text)]
+        s, e = merged(np.array([x["lo"] for x in by_word]), np.array([x["hi"] for x in by_word]), touching=False)
+        # Whole words only: a match may reach into the code of the next word by chance.
+        for first, last in zip((-(-s // CODE)).tolist(), (e // CODE - 1).tolist()):
+            lo.append(place[first][0])
+            hi.append(place[last][1])
+    s, e = merged(np.array(lo), np.array(hi))
     edges = [0, *np.stack([s, e], axis=1).ravel().tolist(), len(text)]
     return [text[a:b] for a, b in zip(edges[::2], edges[1::2])], int((e - s).sum()), len(s)
 
@@ -396,9 +435,11 @@ def repeat_report(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``docs`` without the repeats in its texts; ``n_chars`` follows where there is one.
 
+    Repeats have at least ``length`` bytes or, if given, at least ``words`` words.
+
     A character that is cut in two goes as a whole. Rows stay even if nothing is left; a
     null text stays null.
     """
@@ -408,7 +449,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         return text.combine(spans, lambda t, s: b"".join(_kept(bytes(t), list(s) if s is not None else None)[0]).decode(errors="ignore"))
 
     keyed = _with_keys(docs)
-    joined = keyed.join(_spans_of(keyed), ["k1", "k2"], "left")
+    joined = keyed.join(_spans_of(keyed, length, words), ["k1", "k2"], "left")
     new = F.when(F.col("row.text").isNotNull(), F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(
         keep("text", "spans")))
     rows = joined.select("row", new.alias("text"))

@@ -1,4 +1,6 @@
+import collections
 import hashlib
+import re
 
 import brute
 import numpy as np
@@ -139,6 +141,61 @@ def test_remove_repeats_keeps_rows_and_columns(make_docs, odd):
         assert r.n_chars == (None if text is None else len(r.text))
 
 
+def test_short_passages_of_many_words_are_cut(make_docs):
+    rng = np.random.default_rng(4)
+    prose = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, int(rng.integers(1, 8))))) for _ in range(n))
+    long, short, hot = prose(51), prose(50), prose(60)
+    assert max(map(len, (long, short, hot))) < 400
+    docs = {1: f"{prose(40)} {long} {prose(9)}", 2: f"{prose(3)}\n{long}\n{prose(70)}", 3: f"{prose(20)} {short} {prose(20)}",
+            4: f"{short} {prose(30)}", 5: long.replace(" ", "\n", 3), 6: None, 7: "", 8: "ab " * 120, 9: "ab " * 40}
+    docs |= {i: f"{prose(int(rng.integers(0, 30)))} {hot} {prose(int(rng.integers(0, 30)))}" for i in range(10, 30)}
+    left = by_id(repeats.remove_repeats(make_docs(docs.items()), words=51))
+    for i in (1, 2):
+        assert left[i].text == docs[i].replace(long, "")
+    assert left[3].text == docs[3] and left[4].text == docs[4] and left[9].text == docs[9]
+    assert left[5].text == left[7].text == "" and left[6].text is None and left[8].text.strip() == ""
+    assert all(left[i].text == docs[i].replace(hot, "") for i in range(10, 30))
+    whole = by_id(repeats.remove_repeats(make_docs(docs.items())))
+    assert all(whole[i].text == docs[i] for i in docs)
+
+
+def test_passages_and_repeats_are_brute_force(spark):
+    """Real texts: what 400 bytes or 51 words cover that are met again, and no more."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    blank = re.compile(rb"[^\x20\x09-\x0D]+")
+    seen = collections.Counter()
+    for t in texts.values():
+        words = t.split()
+        seen.update(b" ".join(words[i:i + 51]) for i in range(len(words) - 50))
+        seen.update(b"\n" + t[i:i + 400] for i in range(len(t) - 399))
+    got, only_words = by_id(repeats.remove_repeats(docs, words=51)), 0
+    for d, t in texts.items():
+        mark = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if seen[b"\n" + t[i:i + 400]] > 1:
+                mark[i:i + 400] = True
+        before, place = mark.sum(), [m.span() for m in blank.finditer(t)]
+        for i in range(len(place) - 50):
+            if seen[b" ".join(t[a:b] for a, b in place[i:i + 51])] > 1:
+                mark[place[i][0]:place[i + 50][1]] = True
+        only_words += int(mark.sum() > before)
+        assert got[d].text == bytes(b for b, m in zip(t, mark) if not m).decode(errors="ignore")
+    assert only_words
+
+
+def test_pipeline_cuts_every_passage_of_over_50_words(spark, make_docs):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(map(chr, rng.integers(97, 123, int(rng.integers(2, 7)))))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    passage = prose(51)
+    docs = {i: f"{prose(60)}\n{passage}\n{prose(60)}" for i in range(4)}
+    left = by_id(dict(corpus_pipeline.STAGES)["suffix_array_dedup"](spark, make_docs(docs.items()), ""))
+    assert len(passage) < 400 and all(left[i].text == docs[i].replace(passage, "") for i in docs)
+
+
 def test_interval_tree():
     words = sorted(w.encode() for w in ["banana", "bandana", "ban", "band", "cab", "cabs"])
     lcp = [repeats.common_prefix(a, b) for a, b in zip(words, words[1:])]
