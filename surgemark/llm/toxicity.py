@@ -7,8 +7,8 @@ id, never a held-out one):
   a Dirichlet prior in proportion to the token's count in all of them, ``Z`` standard errors
   nearer to zero. The ``TOKENS`` surest tokens are kept, any other scores zero;
 * every token then costs ``DRIFT``, so that unremarkable text scores below zero;
-* the scores' scale (lambda) solves E[exp(lambda * score)] = 1 over other documents' tokens,
-  and the location (ln K) of the extreme-value law of their best segments is fitted to them;
+* the scores' scale (lambda) solves E[exp(lambda * score)] = 1 over all occurrences of tokens
+  in other documents, and the location (ln K) of the extreme-value law of their best segments is fitted to them;
 * a logistic curve turns three numbers of a document into its score: the calibrated best
   segment, the total of its significant segments, and their number.
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,15 +87,8 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
 
 
 def scored(words: list[str], model_scores: dict) -> np.ndarray:
-    """Scores of the words in turn. The odds are of a token being in a document at all, so a
-    positive score counts where the token comes first, not where it is repeated."""
-    out = np.array([model_scores.get(w, 0.0) for w in words])
-    met = set()
-    for p in np.flatnonzero(out > 0).tolist():
-        if words[p] in met:
-            out[p] = 0.0
-        met.add(words[p])
-    return out - DRIFT
+    """Scores of the words in turn; every occurrence of a word counts."""
+    return np.array([model_scores.get(w, 0.0) for w in words]) - DRIFT
 
 
 def measures(text: str, model_scores: dict, scale: float, location: float) -> tuple[float, float, float]:
@@ -133,20 +127,22 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _token_scores(found: DataFrame) -> list:
-    """token, score, clean (documents that are not toxic with it) of the surest tokens."""
+    """token, score, seen (its occurrences in documents that are not toxic) of the surest tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for token in set(tokens(text.as_py())):
-                    counts.setdefault(token, [0, 0])[1 if toxic else 0] += 1
+                for token, times in Counter(tokens(text.as_py())).items():
+                    of = counts.setdefault(token, [0, 0, 0])
+                    of[1 if toxic else 0] += 1
+                    of[2] += 0 if toxic else times
             yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in (0, 1))],
-                names=["token", "clean", "toxic"])
+                [pa.array(counts.keys(), pa.string()), *(pa.array([c[i] for c in counts.values()], pa.int64()) for i in range(3))],
+                names=["token", "clean", "toxic", "seen"])
 
-    counts = stage(found.mapInArrow(run, "token string, clean long, toxic long").groupBy("token").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "token-counts")
+    counts = stage(found.mapInArrow(run, "token string, clean long, toxic long, seen long").groupBy("token").agg(
+        *(F.sum(c).alias(c) for c in ("clean", "toxic", "seen"))), "token-counts")
     n = counts.agg(F.sum("clean"), F.sum("toxic"), F.count(F.lit(1))).first()
     if not (n[0] and n[1]):
         return []
@@ -157,9 +153,9 @@ def _token_scores(found: DataFrame) -> list:
     error = F.sqrt(1 / y + 1 / c)
     return (
         counts.where("clean + toxic > 1").select(
-            "token", "clean", (F.abs(odds) / error).alias("z"),
+            "token", "seen", (F.abs(odds) / error).alias("z"),
             (F.signum(odds) * (F.abs(odds) - Z * error)).alias("score"))
-        .where(F.col("z") > Z).orderBy(F.desc("z"), "token").limit(TOKENS).select("token", "score", "clean").collect()
+        .where(F.col("z") > Z).orderBy(F.desc("z"), "token").limit(TOKENS).select("token", "score", "seen").collect()
     )
 
 
@@ -200,12 +196,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not scores:
         bias = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
         return Model({}, 1.0, 0.0, (0.0,) * 3, (0.0,) * 3, (1.0,) * 3, bias)
-    clean = np.array([r["clean"] for r in rows], float)
+    seen = np.array([r["seen"] for r in rows], float)
     values = np.array([r["score"] for r in rows])
     known = np.concatenate([values, [0.0]]) - DRIFT
-    # All other tokens score zero; their number follows from the documents' distinct tokens.
+    # All other tokens score zero; their number follows from the documents' lengths.
     rest = _clean_tokens(found)
-    scale = _scale(known, np.concatenate([clean, [max(rest - clean.sum(), 1.0)]]))
+    scale = _scale(known, np.concatenate([seen, [max(rest - seen.sum(), 1.0)]]))
 
     def measured(location: float):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,11 +223,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def _clean_tokens(found: DataFrame) -> float:
-    """Distinct tokens of all documents that are not toxic, summed."""
+    """Tokens of all documents that are not toxic, every occurrence counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = sum(len(set(tokens(t.as_py()))) for y, t in zip(batch.column(0).to_pylist(), batch.column(1)) if not y)
+            n = sum(len(tokens(t.as_py())) for y, t in zip(batch.column(0).to_pylist(), batch.column(1)) if not y)
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
     return float(found.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0)

@@ -87,6 +87,18 @@ def test_toxic_passages_are_found():
     assert text[start:end] == "bad worse" and surprise > 3
 
 
+def test_every_copy_of_a_toxic_passage_is_found():
+    scores = {w: 4.0 for w in ("bad", "worse", "worst", "vile")}
+    model = toxicity.Model(scores, 1.0, 0.0, (1.0,) * 3, (0.0,) * 3, (1.0,) * 3, 0.0)
+    passage, gap = "bad worse worst vile", " fine" * 400 + " "
+    twice = f"fine {passage}{gap}{passage} fine"
+    assert [twice[a:b] for a, b, _ in toxicity.passages(twice, model)] == [passage] * 2
+    late = gap.join(["fine", *scores, passage])
+    assert [late[a:b] for a, b, _ in toxicity.passages(late, model)] == [passage]
+    once = toxicity.measures(f"fine {passage}{gap} fine", scores, 1.0, 0.0)
+    assert toxicity.measures(twice, scores, 1.0, 0.0)[2] > once[2] > 0
+
+
 def test_tree_rules():
     printed = """RandomForestClassificationModel: uid=x
   Tree 0 (weight 1.0):
