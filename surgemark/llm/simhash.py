@@ -60,16 +60,25 @@ def fingerprint(text: bytes, block: int = 1 << 18) -> int:
     return sum(1 << b for b in np.flatnonzero(2 * ones > len(start)).tolist())
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) for each row."""
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A digest that only rows with one doc_id and one text share."""
+    part = F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("-")), F.lit(":"))
+    return F.sha2(F.concat(part, F.coalesce(F.concat(F.lit("t"), text.cast("string")), F.lit(""))), 256)
+
+
+def fingerprints(docs: DataFrame, **more: Column) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long), and strings asked for, for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found), *batch.columns[2:]], names=["doc_id", "fp", *names])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    names = list(more)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"),
+                       *(c.alias(n) for n, c in more.items()))
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{n} string" for n in names)]))
 
 
 def _offsets(radius: int) -> list[tuple[int, ...]]:
@@ -157,25 +166,34 @@ def links(nodes: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _classes(found: DataFrame, first: Column, radius: int) -> DataFrame:
+    """fp, first (the least ``first`` of its component), group_size for each fingerprint."""
+    nodes = stage(found.groupBy("fp").agg(F.min(first).alias("first")), "simhash-nodes")
+    stars = components(links(nodes, radius))
+    rooted = nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("group_size"))
+    return rooted.drop("first").join(groups, "root").select("fp", "first", "group_size")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint, component_id, group_size (distinct fingerprints) for each row."""
     found = stage(fingerprints(docs), "simhash")
-    nodes = stage(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    stars = components(links(nodes, radius))
-    rooted = nodes.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    groups = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("group_size"))
-    classes = rooted.join(groups, "root").select("fp", "component_id", "group_size")
+    classes = _classes(found, F.col("doc_id"), radius).withColumnRenamed("first", "component_id")
     return found.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_size")
 
 
 def near_survivors(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with the smallest doc_id of their group, one row for each doc_id.
+    """One row of ``docs`` for each group: that with the smallest doc_id, then digest of its text.
 
-    Rows without a doc_id stay.
+    A row without doc_id stays only where its group has no row with one. Rows with one doc_id
+    and different texts are different documents.
     """
-    kept = stage(near_duplicates(docs, radius).where("doc_id = component_id").select("doc_id").distinct(), "near-kept")
-    named = docs.where(F.col("doc_id").isNotNull())
-    stay = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return stay.unionByName(docs.where(F.col("doc_id").isNull()))
+    key = row_key(F.col("doc_id"), F.col("text"))
+    found = stage(fingerprints(docs, key=key), "simhash")
+    best = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    kept = stage(_classes(found, best, radius).select(F.col("first.key").alias("key")).distinct(), "near-kept")
+    whole = docs.select(F.struct("*").alias("row"))
+    keyed = whole.select("row", row_key(F.col("row.doc_id"), F.col("row.text")).alias("key"))
+    return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -99,6 +99,21 @@ def test_near_survivors(make_docs, odd):
     assert sorted(i for i in ids if i is not None) == sorted(set(want.values())) and ids.count(None) == 2
 
 
+def test_near_survivors_of_shared_and_missing_ids(make_docs):
+    rng = np.random.default_rng(8)
+    prose = lambda n=40: " ".join("".join(map(chr, rng.integers(97, 123, 5))) for _ in range(n))
+    one_id, base, no_id, lone = [prose() for _ in range(12)], prose(), prose(), prose()
+    docs = [*((5, t) for t in one_id),                            # one id, unrelated texts: all stay
+            (1, base), (5, base.upper()), (7, base + " "),        # near copies: the smallest id stays
+            (3, no_id), (None, no_id.upper()), (None, no_id + " "),
+            (None, lone), (None, lone.upper()), (None, lone)]
+    left = simhash.near_survivors(make_docs(docs))
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    assert sorted((d, t) for d, t in got if d is not None) == sorted([*((5, t) for t in one_id), (1, base), (3, no_id)])
+    (text,) = [t for d, t in got if d is None]
+    assert text.lower() == lone and text == simhash.near_survivors(make_docs(docs[::-1])).where("doc_id is null").first().text
+
+
 @pytest.mark.parametrize("bucket", [512, 2])
 def test_repeats_are_brute_force(make_docs, odd, bucket, monkeypatch):
     monkeypatch.setattr(repeats, "BUCKET", bucket)
