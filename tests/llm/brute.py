@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import xxhash
@@ -76,3 +77,80 @@ def edited(docs):
         half = len(t) // 2
         out[d] = t[:len(t) - half] + docs[(i + 1) % len(docs)][1][:half]
     return out
+
+
+def planted(doc_id, words):
+    """The words with a periodic tail, for one id in ten."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic(words):
+    """Runs (start, length, period) by comparing all words at every distance."""
+    best = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i - start + q >= max(12, 2 * q):
+                best.setdefault((start, i - start + q), q)
+            i += 1
+    return sorted((s, n, q) for (s, n), q in best.items())
+
+
+def run_row(doc_id, text):
+    """n_runs, the longest run, and the two digests of op11."""
+    words = planted(doc_id, re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    runs = periodic(words)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    top = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (len(runs), *(top or (None,) * 3), top and 1000 * top[1] // top[2], sha(lines), sha(kept))
+
+
+def divergence(docs, top=200):
+    """Rows of op12 from (lang, source, text)."""
+    holding, uses, seen = collections.Counter(), collections.Counter(), set()
+    for lang, source, text in docs:
+        lang, source = lang or "", source or ""
+        seen.add((lang, source))
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        holding.update({(lang, t) for t in terms})
+        uses.update((lang, source, t) for t in terms)
+    out = set()
+    for lang in {g[0] for g in seen}:
+        kept = sorted((t for g, t in holding if g == lang and holding[g, t] >= 3), key=str.encode)
+        sources = sorted(s for g, s in seen if g == lang)
+        count = {s: {t: uses[lang, s, t] for t in kept} for s in sources}
+        count[None] = {t: sum(count[s][t] for s in sources) for t in kept}
+        p = {s: {t: 1 + 10**9 * (c + 1) // (sum(of.values()) + len(kept)) for t, c in of.items()}
+             for s, of in count.items()}
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in sources:
+            pairs = sorted((-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in sources if o != s)
+            terms = sorted((-f(p[s][t], p[None][t]), t.encode(), t) for t in kept
+                           if count[s][t] and p[s][t] > p[None][t])[:top]
+            for part, found in (("pair", pairs), ("term", terms)):
+                out |= {(lang, s, part, x, -v, i + 1) for i, (v, _, x) in enumerate(found)}
+    return out
+
+
+def rules(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    times = collections.Counter(grams)
+    again = {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
+            len(again))
