@@ -25,6 +25,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from surgemark.llm.common import held_out, text_or_empty
@@ -32,7 +33,6 @@ from surgemark.plans.staging import stage
 
 LABELLED = 50_000
 TREES, DEPTH = 16, 4
-RULES = 200                   # rules given to the lasso, by how evenly they split
 LASSO = 0.0005
 
 STATISTICS = (
@@ -132,12 +132,9 @@ def train(stats: DataFrame, labels: DataFrame) -> tuple[list[tuple], list[float]
     if not rules:
         share = ones / n
         return [], [], math.log(share / (1 - share))
-    shares = rows.agg(*[F.avg(rule_column(r).cast("double")).alias(f"r{i}") for i, r in enumerate(rules)]).first()
-    even = sorted(range(len(rules)), key=lambda i: -min(shares[i], 1 - shares[i]))[:RULES]
-    rules = [rules[i] for i in sorted(even)]
-    names = [f"r{i}" for i in range(len(rules))]
-    fired = rows.select("label", *[rule_column(r).cast("double").alias(c) for r, c in zip(rules, names)])
-    fired = VectorAssembler(inputCols=names, outputCol="x").transform(fired).select("x", "label").cache()
+    # All distinct rules, at most 2 ** (DEPTH + 1) - 2 of each tree; the lasso alone chooses.
+    fires = F.array(*[rule_column(r).cast("double") for r in rules])
+    fired = rows.select(array_to_vector(fires).alias("x"), "label").cache()
     lasso = LogisticRegression(featuresCol="x", regParam=LASSO, elasticNetParam=1.0, maxIter=60).fit(fired)
     fired.unpersist()
     kept = [(r, w) for r, w in zip(rules, lasso.coefficients.toArray().tolist()) if w]

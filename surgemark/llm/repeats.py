@@ -296,13 +296,15 @@ def bucket_spans(found: DataFrame, length: int) -> DataFrame:
                 if group and group[0][0] != (key1, key2):
                     out += spans(group)
                     group = []
-                group.append(((key1, key2), *rest))
+                # Rows repeated with one id and text bring the same run again.
+                if not (group and group[-1][1:4] == tuple(rest[:3])):
+                    group.append(((key1, key2), *rest))
             if out:
                 yield _rows(SPAN, *zip(*out))
         if len(group) > 1 and (out := spans(group)):
             yield _rows(SPAN, *zip(*out))
 
-    dealt = found.repartition("key1", "key2").sortWithinPartitions("key1", "key2", "ahead")
+    dealt = found.repartition("key1", "key2").sortWithinPartitions("key1", "key2", "ahead", "k1", "k2", "x")
     return dealt.mapInArrow(run, SPAN)
 
 
@@ -408,13 +410,16 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[list[bytes], int, int]
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and text, what is left of each row's text.
+
+    The digest is that of the remaining bytes; ``text`` leaves out characters cut in two.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            sizes, gone, cuts, sha = [], [], [], []
+            sizes, gone, cuts, sha, left = [], [], [], [], []
             for text, spans in zip(batch.column(1), batch.column(2)):
                 text = text.as_py()
                 pieces, removed, n = _kept(text, spans.as_py())
@@ -425,14 +430,16 @@ def repeat_report(docs: DataFrame) -> DataFrame:
                 gone.append(removed)
                 cuts.append(n)
                 sha.append(digest.hexdigest())
+                left.append(b"".join(pieces).decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(v, pa.int64()) for v in (sizes, gone, cuts)), pa.array(sha, pa.string())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                [batch.column(0), *(pa.array(v, pa.int64()) for v in (sizes, gone, cuts)), pa.array(sha, pa.string()),
+                 pa.array(left, pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
     keyed = _with_keys(docs)
     rows = keyed.join(_spans_of(keyed), ["k1", "k2"], "left").select(
         F.col("row.doc_id").cast("long").alias("doc_id"), "text", "spans")
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:

@@ -14,17 +14,21 @@ the task attempt, and only the attempt that succeeded is listed, so a lost execu
 at worst an unlisted file behind.
 
 Odd input: a null text is an empty text (only the end id); any length works; rows repeated
-with one doc_id are all written, ordered by text; a null doc_id comes first; an empty
-table gives no rows; other columns are ignored.
+with one doc_id are all written, ordered by a hash of the text and the text; a null doc_id
+comes first; malformed UTF-8 counts as U+FFFD; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from surgemark.llm.common import shuffle_partitions, text_or_empty
@@ -32,15 +36,23 @@ from surgemark.plans.staging import stage, stage_path
 
 SEQUENCE = 2048               # ids in a sequence
 BATCH = 256                   # sequences in a record batch
-PIECES_KEPT = 500_000         # parts of texts whose ids a Python worker remembers
+PIECES_KEPT = 1_000_000       # pieces of texts whose ids a Python worker remembers
+
+
+# Fixed value: how the vocabulary's tokenizer cuts a text before it merges bytes.
+PRE_TOKEN = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+MARKS, CUT = " .,;:!?", "\x1f"
+# Where a cut before a mark would not lie between pre-tokens, or the text holds the sign of a cut.
+CROWDED = re.compile(
+    r"[.,;:!?\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    r"(?:(?<=\x1f)|(?<=\s)(?:(?=\s)|(?<=\s.))|(?<=[.,;:!?])(?<![^\W_].))", re.DOTALL)
 
 
 class PieceEncoder:
-    """The library's ids of whole texts, asking it once for each part between two spaces.
+    """The library's ids of whole texts, asking it once for each piece between two marks.
 
-    A token of this vocabulary holds a space at most at its start, and its pattern never
-    looks past a space that follows a visible character. So a text with no two spaces in a
-    row may be cut before each space; other texts go to the library whole.
+    A text's ids are those of its pre-tokens, one after the other. The cut is made here; a character is trusted once the library has been seen to cut around it in the
+    same way, and texts with other characters, or with an added token, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -54,53 +66,92 @@ class PieceEncoder:
         space = self.library.encode(" ", add_special_tokens=False).tokens[0]
         self.spaced = np.zeros(size, bool)       # tokens that start with a space
         self.spaced[[i for t, i in self.library.get_vocab().items() if t.startswith(space)]] = True
+        self.line = np.zeros(size, bool)
+        self.line[self.library.encode("\n", add_special_tokens=False).ids] = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.trusted: set[str] = set()
+        self.other: set[str] = set()
+        self.ascii = all(map(self._cut_alike, map(chr, range(128))))
 
     def ask(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.kind).tobytes() for x in found]
+        return [np.array(x.ids, dtype=self.kind).tobytes()
+                for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _cut_alike(self, char: str) -> bool:
+        cut = self.library.pre_tokenizer.pre_tokenize_str
+        tries = [before + char + after for before in ("", " ", "a", "1", ".") for after in ("", " ", "a", "1", ".", char + "a")]
+        return all([b - a for _, (a, b) in cut(t)] == [len(x) for x in PRE_TOKEN.findall(t)] for t in tries)
+
+    def plain(self, text: str) -> bool:
+        """Whether the pattern cuts this text as the library does."""
+        if not text.isascii() or not self.ascii:
+            chars = set(text)
+            for char in chars - self.trusted - self.other:
+                (self.trusted if self._cut_alike(char) else self.other).add(char)
+            if not self.trusted.issuperset(chars):
+                return False
+        return not any(t in text for t in self.added)
+
+    def _learn_joined(self, pieces: list[str], joined: str, first: np.ndarray, skip: int) -> None:
+        """Ids of pieces that the library gets in one text, where tokens of ``first`` start each."""
+        ids = np.frombuffer(self.ask([joined])[0], self.kind)
+        starts = np.flatnonzero(first[ids])
+        if len(starts) != len(pieces):
+            raise ValueError("the vocabulary joins pieces")
+        ends = [*(starts[1:] * self.kind.itemsize).tolist(), ids.nbytes]
+        data = ids.tobytes()
+        self.known.update((p, data[a:b]) for p, a, b in zip(
+            pieces, ((starts + skip) * self.kind.itemsize).tolist(), ends))
 
     def learn(self, pieces: list[str]) -> None:
-        """Ids of parts with the space before them. Parts without white space go together in
-        one text; there, a token that starts with a space starts a part."""
-        plain, other = [], []
+        """Ids of new pieces. Those with a space before them follow each other in one text, those
+        without white space go in lines of one text, and the few others on their own."""
+        spaced, bare, other = [], [], []
         for p in pieces:
-            (plain if p and "<" not in p and len(p.split()) == 1 and p.strip() == p else other).append(p)
-        self.known.update(zip(other, self.ask([" " + p for p in other])))
-        for i in range(0, len(plain), 2000):
-            part = plain[i:i + 2000]
-            ids = np.frombuffer(self.ask([" " + " ".join(part)])[0], self.kind)
-            first = np.flatnonzero(self.spaced[ids])
-            if len(first) != len(part):
-                raise ValueError("the vocabulary joins parts across spaces")
-            ends = [*(first[1:] * self.kind.itemsize).tolist(), ids.nbytes]
-            joined = ids.tobytes()
-            self.known.update(
-                (p, joined[a:b]) for p, a, b in zip(part, (first * self.kind.itemsize).tolist(), ends))
+            inner = p[1:] if p[0] == " " else p
+            (other if not inner or inner.split() != [inner] else bare if inner is p else spaced).append(p)
+        self.known.update(zip(other, self.ask(other)))
+        for i in range(0, len(spaced), 2000):
+            part = spaced[i:i + 2000]
+            self._learn_joined(part, "".join(part), self.spaced, 0)
+        for i in range(0, len(bare), 2000):
+            part = bare[i:i + 2000]
+            self._learn_joined(part, "\n" + "\n".join(part), self.line, 1)
+
+    def pieces(self, text: str) -> list[str]:
+        """The text cut between pre-tokens, not always between all of them.
+
+        There is a cut before a space next to no other white space, and before a mark that
+        follows a letter or digit; where spaces or marks stand otherwise, the pattern is used.
+        """
+        if "  " in text or CROWDED.search(text):
+            return PRE_TOKEN.findall(text)
+        for mark in MARKS:
+            text = text.replace(mark, CUT + mark)
+        return text.split(CUT)
 
     def encode_all(self, texts: list[str], together: int = 256) -> Iterator[bytes]:
         """Ids of each text, as ``kind``, little-endian."""
+        join, of = b"".join, self.known.__getitem__
         for i in range(0, len(texts), together):
-            cut = [[t] if "  " in t else t.split(" ") for t in texts[i:i + together]]
-            firsts = self.ask([pieces[0] for pieces in cut])
-            wanted = set().union(*(pieces[1:] for pieces in cut))
-            missing = list(wanted.difference(self.known))
-            self.learn(missing)
-            for first, pieces in zip(firsts, cut):
-                yield first + b"".join(map(self.known.__getitem__, pieces[1:]))
+            cut = [self.pieces(t) if self.plain(t) else None for t in texts[i:i + together]]
+            new = set().union(*(c for c in cut if c)).difference(self.known)
+            whole = [p for p in new if p.isalpha() or p[:1] == " " and p[1:].isalpha()]
+            split = {p: PRE_TOKEN.findall(p) for p in new.difference(whole)}
+            self.learn(list(set(whole).union(*split.values()).difference(self.known)))
+            self.known.update([(p, join(map(of, inside))) for p, inside in split.items()])
+            for text, c in zip(texts[i:i + together], cut):
+                yield self.ask([text])[0] if c is None else join(map(of, c))
             # What comes early is common, so a full memory keeps what it has.
-            for p in missing[:max(0, len(self.known) - PIECES_KEPT)]:
-                del self.known[p]
+            while len(self.known) > PIECES_KEPT:
+                self.known.popitem()
 
-    @classmethod
-    def of_worker(cls, path: str) -> "PieceEncoder":
-        """The encoder of this Python worker, which runs many tasks and keeps what it has met."""
-        import tokenizers
 
-        kept = vars(tokenizers).setdefault("_encoders_of_worker", {})
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
+@lru_cache(maxsize=4)
+def encoder(path: str) -> PieceEncoder:
+    """The encoder of this Python worker, which runs many tasks and keeps what it has met."""
+    return PieceEncoder(path)
 
 
 def filesystem(uri: str):
@@ -172,7 +223,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
             if not batch.num_rows:
                 continue
             if writer is None:
-                codec = PieceEncoder.of_worker(tokenizer_path)
+                codec = encoder(tokenizer_path)
                 system, folder = filesystem(root)
                 system.create_dir(folder, recursive=True)
                 name = f"part-{part:06d}-{attempt}"
@@ -198,8 +249,11 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([part], pa.int64()), "path": [f"{root}/{name}"], "n_docs": [n_docs], "n_tokens": [at]})
 
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text").withColumn("text", text_or_empty())
-    ordered = rows.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id are told apart by text; of equal rows any may come first, so these may part.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(text_or_empty()).alias("text")).select(
+        "*", F.xxhash64("text").alias("digest"), F.spark_partition_id().alias("origin"))
+    ordered = rows.repartitionByRange(partitions, "doc_id", "digest", "text", "origin").sortWithinPartitions(
+        "doc_id", "digest", "text").select("doc_id", "text")
     files = stage(ordered.mapInArrow(run, "part long, path string, n_docs long, n_tokens long"), "token-parts")
     # One row for each file: the ids before it are those of the files before it.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

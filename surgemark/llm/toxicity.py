@@ -5,7 +5,7 @@ id, never a held-out one):
 
 * token scores: log-odds of a token's document counts in toxic against other documents, with
   a Dirichlet prior in proportion to the token's count in all of them, ``Z`` standard errors
-  nearer to zero. The ``TOKENS`` surest tokens are kept, any other scores zero;
+  nearer to zero. Tokens further than that from zero are kept, any other scores zero;
 * every token then costs ``DRIFT``, so that unremarkable text scores below zero;
 * the scores' scale (lambda) solves E[exp(lambda * score)] = 1 over all occurrences of tokens
   in other documents, and the location (ln K) of the extreme-value law of their best segments is fitted to them;
@@ -38,7 +38,6 @@ from surgemark.llm.common import held_out, text_or_empty
 from surgemark.plans.staging import stage
 
 LABELLED = 50_000
-TOKENS = 50_000
 Z = 2.0
 DRIFT = 0.05
 EXPECTED = 0.05
@@ -127,7 +126,8 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _token_scores(found: DataFrame) -> list:
-    """token, score, seen (its occurrences in documents that are not toxic) of the surest tokens."""
+    """token, score, seen (its occurrences in documents that are not toxic) of the tokens whose odds
+    pass ``Z``. They come from at most ``LABELLED`` documents, which bounds their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +155,7 @@ def _token_scores(found: DataFrame) -> list:
         counts.where("clean + toxic > 1").select(
             "token", "seen", (F.abs(odds) / error).alias("z"),
             (F.signum(odds) * (F.abs(odds) - Z * error)).alias("score"))
-        .where(F.col("z") > Z).orderBy(F.desc("z"), "token").limit(TOKENS).select("token", "score", "seen").collect()
+        .where(F.col("z") > Z).select("token", "score", "seen").collect()
     )
 
 

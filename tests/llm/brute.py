@@ -69,6 +69,23 @@ def repeats(docs, length=400):
     return out
 
 
+def passages(docs, words, length=400):
+    """doc_id -> text without what ``length`` bytes or as many words cover that are met again."""
+    texts = {d: (t or "").encode() for d, t in docs}
+    place = {d: [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)] for d, t in texts.items()}
+    found = collections.defaultdict(list)
+    for d, t in texts.items():
+        for i in range(len(t) - length + 1):
+            found[t[i:i + length]].append((d, i, i + length))
+        for i in range(len(place[d]) - words + 1 if words else 0):
+            spans = place[d][i:i + words]
+            found[b" ".join(t[a:b] for a, b in spans), "words"].append((d, spans[0][0], spans[-1][1]))
+    mark = {d: np.zeros(len(t), bool) for d, t in texts.items()}
+    for d, a, b in (x for xs in found.values() if len(xs) > 1 for x in xs):
+        mark[d][a:b] = True
+    return {d: bytes(np.frombuffer(t, np.uint8)[~mark[d]]).decode(errors="ignore") for d, t in texts.items()}
+
+
 def edited(docs):
     """doc_id -> edited text, over the documents in ascending doc_id order."""
     docs = sorted((d, t or "") for d, t in docs)
@@ -92,16 +109,13 @@ def planted(doc_id, words):
 
 def periodic(words):
     """Runs (start, length, period) by comparing all words at every distance."""
-    best = {}
+    code = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    best, a = {}, np.array([code[w] for w in words], np.int64)
     for q in range(1, len(words) // 2 + 1):
-        i = 0
-        while i + q < len(words):
-            start = i
-            while i + q < len(words) and words[i] == words[i + q]:
-                i += 1
-            if i - start + q >= max(12, 2 * q):
-                best.setdefault((start, i - start + q), q)
-            i += 1
+        change = np.diff(np.concatenate([[0], (a[q:] == a[:-q]).astype(np.int8), [0]]))
+        for i, j in zip(np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()):
+            if j - i + q >= max(12, 2 * q):
+                best.setdefault((i, j - i + q), q)
     return sorted((s, n, q) for (s, n), q in best.items())
 
 

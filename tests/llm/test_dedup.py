@@ -177,26 +177,19 @@ def test_short_passages_of_many_words_are_cut(make_docs):
 def test_passages_and_repeats_are_brute_force(spark):
     """Real texts: what 400 bytes or 51 words cover that are met again, and no more."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
-    blank = re.compile(rb"[^\x20\x09-\x0D]+")
-    seen = collections.Counter()
-    for t in texts.values():
-        words = t.split()
-        seen.update(b" ".join(words[i:i + 51]) for i in range(len(words) - 50))
-        seen.update(b"\n" + t[i:i + 400] for i in range(len(t) - 399))
-    got, only_words = by_id(repeats.remove_repeats(docs, words=51)), 0
-    for d, t in texts.items():
-        mark = np.zeros(len(t), bool)
-        for i in range(len(t) - 399):
-            if seen[b"\n" + t[i:i + 400]] > 1:
-                mark[i:i + 400] = True
-        before, place = mark.sum(), [m.span() for m in blank.finditer(t)]
-        for i in range(len(place) - 50):
-            if seen[b" ".join(t[a:b] for a, b in place[i:i + 51])] > 1:
-                mark[place[i][0]:place[i + 50][1]] = True
-        only_words += int(mark.sum() > before)
-        assert got[d].text == bytes(b for b, m in zip(t, mark) if not m).decode(errors="ignore")
-    assert only_words
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute.passages(texts, 51)
+    assert {d: r.text for d, r in by_id(repeats.remove_repeats(docs, words=51)).items()} == want
+    assert want != brute.passages(texts, None)
+
+
+def test_report_shows_what_is_left(spark, make_docs, odd):
+    docs = [*odd, *[odd[13]] * 300, *[(900 + i, odd[12][1] + "x" * i) for i in range(3)]]
+    want = brute.repeats(list({(d, t): (d, t) for d, t in docs}.values()) + [odd[13]])
+    for r in repeats.repeat_report(make_docs(docs)).collect():
+        n, removed, spans, kept = want[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.text) == (n, removed, spans, kept.decode(errors="ignore"))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
 def test_pipeline_cuts_every_passage_of_over_50_words(spark, make_docs):
