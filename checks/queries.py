@@ -683,6 +683,24 @@ def stream_fold(spark, sf):
     return closed.select("series", "window_id", *win.COUNTS)
 
 
+def stream_recorded_fold(spark, sf):
+    """A recording that grows by four appends, streamed after each one: nothing is late, so the
+    windows folded by arrival are those of event time."""
+    root = stage_path(spark, "recorded")
+    ev = events(spark, sf)
+    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
+    quarter = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(first))) * 4 / (
+        F.unix_micros(F.lit(last)) - F.unix_micros(F.lit(first)) + 1))
+    for part in range(4):
+        jsonl.record_events(ev.where(quarter == part).orderBy("ts", "seq"), f"{root}/in", max_records=700)
+        stream = run.read_recorded_stream(spark, f"{root}/in", splitBytes=50_000)
+        query = closing.fold_stream(stream, f"{root}/w", f"{root}/checkpoint", TWO)
+        query.awaitTermination()
+    closing.flush_open(spark, f"{root}/w", query.lastProgress["batchId"], TWO)
+    closed = spark.read.option("recursiveFileLookup", "true").schema(closing.CLOSED_SCHEMA).parquet(f"{root}/w/closed")
+    return closed.select("series", "window_id", *win.COUNTS)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -703,6 +721,6 @@ QUERIES: dict[str, Query] = {
         health_duration_p95,
         metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
         bm25, keyword_category,
-        stream_windows, stream_scores, stream_fold,
+        stream_windows, stream_scores, stream_fold, stream_recorded_fold,
     )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surgemark.functions.scalar import epoch, from_epoch
+from surgemark.sources.arrival import read_lines
 from surgemark.schemas import EVENT_JSON
 
 MAX_RECORDS_PER_FILE = 200_000
@@ -29,10 +30,10 @@ def record_events(events: DataFrame, path: str, max_records: int = MAX_RECORDS_P
 
 
 def read_recording(spark: SparkSession, path: str) -> DataFrame:
-    """Events of a recording; blank lines, bad JSON, records with a field missing that has
-    no default, and records with a field that events do not have are skipped."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    return parse_recorded(lines.withColumn("seq", F.monotonically_increasing_id()))
+    """Events of a recording, ``seq`` in order of arrival; blank lines, bad JSON, records with a
+    field missing that has no default, and records with a field that events do not have are
+    skipped."""
+    return parse_recorded(read_lines(spark, path).where(F.trim("value") != ""))
 
 
 def parse_recorded(lines: DataFrame, payload: str = "value") -> DataFrame:

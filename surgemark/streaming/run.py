@@ -15,6 +15,7 @@ from surgemark.operators.explain import contributions
 from surgemark.operators.history import anomaly_table, append_idempotent, metric_table
 from surgemark.operators.windows import derived_columns
 from surgemark.plans.detection import attach_why
+from surgemark.sources.arrival import stream_lines
 from surgemark.sources.jsonl import parse_recorded
 from surgemark.streaming.closing import closed_windows, fold_stream, read_closed
 from surgemark.streaming.scoring import score_stream
@@ -27,11 +28,13 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def read_recorded_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
-    """Recorded JSON lines as an event stream."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-    seq = F.xxhash64("value") if "seq" not in lines.columns else F.col("seq")
-    return parse_recorded(lines.where(F.trim("value") != "").withColumn("seq", seq))
+def read_recorded_stream(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Recorded JSON lines as an event stream, ``seq`` in order of arrival.
+
+    Each micro-batch takes the files that have come since the last one; see
+    ``sources.arrival`` for their order and for ``options``.
+    """
+    return parse_recorded(stream_lines(spark, path, **options).where(F.trim("value") != ""))
 
 
 def decode_stream(messages: DataFrame, payload: str = "d", seq: str = "offset") -> DataFrame:

@@ -185,7 +185,7 @@ def test_recorded_lines_and_messages_as_streams(spark, tmp_path, small_shuffle):
 
     ev = make_events(spark, [{"t": t, "seq": t} for t in range(5)])
     jsonl.record_events(ev, str(tmp_path / "r"))
-    q = (run.read_recorded_stream(spark, str(tmp_path / "r"), 10).writeStream.format("memory")
+    q = (run.read_recorded_stream(spark, str(tmp_path / "r")).writeStream.format("memory")
          .queryName("rec").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("rec").count() == 5
