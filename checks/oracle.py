@@ -633,6 +633,10 @@ WHERE (w.window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev)""",
 late AS (SELECT ev.*, max(CAST(floor(ts_us / 600000000) AS BIGINT)) OVER (
            ORDER BY (seq + 37 * (seq % 11)) * 11 + seq % 11 ROWS UNBOUNDED PRECEDING) AS wid FROM ev),
 {windows(GLOBAL, 600, "late", "wid")} SELECT series, window_id, {', '.join(COUNT_NAMES)} FROM w""",
+    "stream_topk": f"""WITH {EV}, {sightings(GLOBAL, 3600, 3)},
+{windows(GLOBAL, 3600)}
+SELECT series, window_id, distinct_actors, dim, rk::INT AS rk, value, cnt FROM tk JOIN w USING (series, window_id)
+WHERE (window_id + 1) * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev)""",
     "stream_recorded_fold": f"{W600} SELECT series, window_id, {', '.join(COUNT_NAMES)} FROM w",
     "stream_scores": f"""{BY_TYPE_SCORES},
 closed AS (SELECT series, max(window_id) AS last FROM w

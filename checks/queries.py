@@ -657,6 +657,19 @@ def stream_windows(spark, sf):
         F.get("dims", 0)["value"].alias("top_domain"), F.get("dims", 0)["cnt"].alias("top_cnt"))
 
 
+def stream_topk(spark, sf):
+    """Ranked values of every dimension of closed windows, over four micro-batches in time order."""
+    root = stage_path(spark, "quarters")
+    ev = events(spark, sf)
+    first, last = ev.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    quarter = F.floor((F.unix_micros("ts") - first) * 4 / (last - first + 1))
+    for part in range(4):
+        ev.where(quarter == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    closed = run_to_table(closing.closed_windows(stream, HOURLY.with_(dim_topk=3)), "topk")
+    return closed.select("series", "window_id", "distinct_actors", F.inline("dims"))
+
+
 def stream_scores(spark, sf):
     """Gap-free windows scored by the per-series streaming state."""
     run.configure(spark)
@@ -721,6 +734,6 @@ QUERIES: dict[str, Query] = {
         health_duration_p95,
         metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
         bm25, keyword_category,
-        stream_windows, stream_scores, stream_fold, stream_recorded_fold,
+        stream_windows, stream_topk, stream_scores, stream_fold, stream_recorded_fold,
     )
 }

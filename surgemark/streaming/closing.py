@@ -1,17 +1,22 @@
 """Streaming stage 1: events to closed windows.
 
 Two policies. ``event_time`` waits for a watermark and drops what comes later; it is one
-append-mode aggregation keyed by (series, window, dim, value), so neither a hot window nor
-a single series meets one task. ``fold`` never drops: late events count in the window that
+append-mode aggregation keyed by (series, window, dim, value), whose closed groups are cut to
+the K leading values of each dimension, in salted parts first where asked for. So the events
+of a hot window or a single series meet no single task, and no task holds a window's values:
+it holds K of each dimension while they pass. ``fold`` never drops: late events count in the window that
 is open when they arrive, worked out batch by batch with the batch operators.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from bisect import insort
+from collections.abc import Iterator, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import with_series
@@ -26,6 +31,18 @@ CLOSED_SCHEMA = (
     "dims array<struct<dim:string,rk:int,value:string,cnt:long>>"
 )
 
+CLOSED_AT = CLOSED_SCHEMA + ", closed_at timestamp"
+PARTIAL = (
+    "series string, window_id long, dim string, value string, cnt long, first_seq long, "
+    "bots long, news long, bytes long, closed_at timestamp"
+)
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure(spark: SparkSession) -> None:
+    """Operators with state of their own need the RocksDB store."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+
 
 def dedupe_stream(events: DataFrame, delay: str) -> DataFrame:
     """Optional: drop repeats of (source, id) within the watermark."""
@@ -34,10 +51,13 @@ def dedupe_stream(events: DataFrame, delay: str) -> DataFrame:
 
 def closed_windows(
     events: DataFrame, cfg: EngineConfig, series_cols: Sequence[str] = (),
-    delay: str = "0 seconds", watermarked: bool = False,
+    delay: str = "0 seconds", watermarked: bool = False, salts: int = 1,
 ) -> DataFrame:
     """Windows complete under the watermark, with counters and ranked dimension values.
 
+    The counted values of a window pass one task; with ``salts`` they are cut in as many parts
+    first, for windows with millions of different values.
+
     Every event contributes a row for itself, its subject, its actor and each tracked
     dimension value. Distinct counts are then plain counts of (window, value) groups,
     exact and incremental, where streams allow no distinct aggregate.
@@ -68,33 +88,71 @@ def closed_windows(
             F.sum(F.abs("bytes_delta")).alias("bytes"),
         )
     )
-    total = F.col("dim") == TOTAL
-    ranked = F.when(
-        ~F.col("dim").isin(TOTAL, SUBJECT, ACTOR),
-        F.struct("dim", (-F.col("cnt")).alias("neg"), "first_seq", "value"),
-    )
-    per_window = values.groupBy("series", F.window(F.window_time("w"), tick).alias("w")).agg(
-        F.coalesce(F.max(F.when(total, F.col("cnt"))), F.lit(0)).alias("count"),
-        F.count_if(F.col("dim") == SUBJECT).alias("distinct_subjects"),
-        F.count_if(F.col("dim") == ACTOR).alias("distinct_actors"),
-        F.coalesce(F.max(F.when(total, F.col("bots"))), F.lit(0)).alias("bot_count"),
-        F.coalesce(F.max(F.when(total, F.col("news"))), F.lit(0)).alias("new_count"),
-        F.coalesce(F.max(F.when(total, F.col("bytes"))), F.lit(0)).alias("bytes_changed"),
-        F.array_sort(F.collect_list(ranked)).alias("_r"),
-    )
-    top = F.flatten(F.transform(
-        F.array(*[F.lit(d) for d in cfg.track_dims]),
-        lambda d: F.slice(F.filter("_r", lambda r: r["dim"] == d), 1, cfg.dim_topk),
-    ))
-    position = lambda r: F.filter("_r", lambda q: q["dim"] == r["dim"])
-    dims = F.transform(top, lambda r: F.struct(
-        r["dim"].alias("dim"), F.array_position(position(r), r).cast("int").alias("rk"),
-        r["value"].alias("value"), (-r["neg"]).alias("cnt"),
-    ))
-    return per_window.select(
-        "series", window_id(F.col("w.start"), cfg).alias("window_id"), *COUNTS, dims.alias("dims"),
-        F.window_time("w").alias("closed_at"),
-    )
+    configure(events.sparkSession)
+    closed = values.select(
+        "series", window_id(F.col("w.start"), cfg).alias("window_id"), "dim", "value", "cnt", "first_seq",
+        "bots", "news", "bytes", F.window_time("w").alias("closed_at"))
+    if salts > 1:
+        part = F.pmod(F.xxhash64("dim", "value"), F.lit(salts))
+        parted = closed.withColumn("salt", part).groupBy("series", "window_id", "salt")
+        closed = _leading(parted, LeadingValues(cfg, False), PARTIAL)
+    # What salted parts pass on is counted already.
+    return _leading(closed.groupBy("series", "window_id"), LeadingValues(cfg, True, salts > 1), CLOSED_AT)
+
+
+def _leading(groups, processor: StatefulProcessor, schema: str) -> DataFrame:
+    return groups.transformWithState(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime",
+        eventTimeColumnName="closed_at")
+
+
+class LeadingValues(StatefulProcessor):
+    """Counters and the leading dimension values of a closed window, or of a salted part of it.
+
+    The aggregation before it emits all values of a window in the batch that closes the window,
+    so a group is complete when it arrives and nothing has to outlast the batch. Rows pass one
+    by one; of each dimension the ``dim_topk`` greatest counts are held, earlier seen ones first.
+    """
+
+    def __init__(self, cfg: EngineConfig, final: bool, counted: bool = False) -> None:
+        self.dims, self.k, self.final, self.counted = list(cfg.track_dims), cfg.dim_topk, final, counted
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        best: dict[str, list[tuple]] = {}
+        found = {SUBJECT: 0, ACTOR: 0, TOTAL: 0}
+        bots = news = size = 0
+        for r in rows:
+            closed_at = r.closed_at
+            if r.dim in found:
+                found[r.dim] += r.cnt if self.counted or r.dim == TOTAL else 1
+                if r.dim == TOTAL:
+                    bots, news, size = bots + r.bots, news + r.news, size + r.bytes
+                continue
+            first = math.inf if r.first_seq is None else r.first_seq
+            held, item = best.setdefault(r.dim, []), (-r.cnt, first, r.value)
+            if len(held) < self.k or item < held[-1]:
+                insort(held, item)
+                del held[self.k:]
+        if self.final:
+            dims = [Row(dim=dim, rk=i + 1, value=value, cnt=-n) for dim in self.dims
+                    for i, (n, _, value) in enumerate(best.get(dim, []))]
+            yield Row(series=key[0], window_id=key[1], count=found[TOTAL], distinct_subjects=found[SUBJECT],
+                      distinct_actors=found[ACTOR], bot_count=bots, new_count=news, bytes_changed=size, dims=dims,
+                      closed_at=closed_at)
+            return
+        passed = [(dim, None, n, None) for dim, n in found.items() if n]
+        passed += [(dim, value, -n, None if first == math.inf else first)
+                   for dim, held in best.items() for n, first, value in held]
+        for dim, value, n, first in passed:
+            mine = (bots, news, size) if dim == TOTAL else (0, 0, 0)
+            yield Row(series=key[0], window_id=key[1], dim=dim, value=value, cnt=n, first_seq=first, bots=mine[0],
+                      news=mine[1], bytes=mine[2], closed_at=closed_at)
+
+    def close(self) -> None:
+        pass
 
 
 def _table(spark, path: str) -> DataFrame | None:

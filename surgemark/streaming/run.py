@@ -17,17 +17,9 @@ from surgemark.operators.windows import derived_columns
 from surgemark.plans.detection import attach_why
 from surgemark.sources.arrival import stream_lines
 from surgemark.sources.jsonl import parse_recorded
-from surgemark.streaming.closing import closed_windows, fold_stream, read_closed
+from surgemark.streaming.closing import closed_windows, configure, fold_stream, read_closed
 from surgemark.streaming.scoring import score_stream
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def configure(spark: SparkSession) -> None:
-    """The per-series state needs the RocksDB store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-
-
 def read_recorded_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """Recorded JSON lines as an event stream, ``seq`` in order of arrival.
 

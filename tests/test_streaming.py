@@ -201,3 +201,25 @@ def test_dedupe_stream(spark, tmp_path, small_shuffle):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("dd").count() == 1
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_leading_values_of_a_window_with_very_many(spark, tmp_path, small_shuffle, salts):
+    """Values of one dimension by the thousand: K of them stay, ties by arrival, in small blocks."""
+    n = 6_000
+    rows = [{"t": 1 + i / n, "seq": i, "subject": f"p{i % 3000}", "dims": {"lang": f"v{i % 5000}", "domain": f"d{i}"}}
+            for i in range(n)] + [{"t": 50, "seq": n}]
+    ev = make_events(spark, rows).repartition(3)
+    ev.write.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        q = (closing.closed_windows(spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in")), CFG, salts=salts).writeStream
+             .format("memory").queryName(f"many{salts}").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    row = spark.table(f"many{salts}").where("window_id = 0").first()
+    assert (row["count"], row.distinct_subjects, row.distinct_actors) == (n, 3000, 1)
+    assert [(d.dim, d.rk, d.value, d.cnt) for d in row.dims] == [
+        *[("domain", i + 1, f"d{i}", 1) for i in range(3)], *[("lang", i + 1, f"v{i}", 2) for i in range(3)]]
