@@ -527,6 +527,17 @@ m AS (SELECT window_id * 600.0::DOUBLE + 600 AS window_end, count FROM dense
       WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 7 * 86400 FROM dense))
 SELECT id AS anomaly_id, ts AS anomaly_ts, severity AS anomaly_severity, m.window_end, m.count
 FROM surf LEFT JOIN m ON m.window_end BETWEEN ts - 3600 AND ts + 3600""",
+    "stored_incident_one": f"""{GLOBAL_SURF},
+m AS (SELECT window_id * 600.0::DOUBLE + 600 AS window_end, count FROM dense
+      WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 7 * 86400 FROM dense))
+SELECT id AS anomaly_id, ts AS anomaly_ts, severity AS anomaly_severity, m.window_end, m.count
+FROM surf LEFT JOIN m ON m.window_end BETWEEN ts - 3600 AND ts + 3600 WHERE id = (SELECT max(id) FROM surf)""",
+    "stored_snapshot": f"""{GLOBAL_SURF},
+m AS (SELECT window_id * 600.0::DOUBLE + 600 AS t, count FROM dense
+      WHERE window_id * 600 >= (SELECT max(window_id) * 600 - 7 * 86400 FROM dense) ORDER BY t DESC LIMIT 900),
+a AS (SELECT ts AS t, id FROM surf ORDER BY ts DESC, id LIMIT 200)
+SELECT 'metric' AS kind, (row_number() OVER (ORDER BY t) - 1)::INT AS pos, t, count, NULL::VARCHAR AS id FROM m
+UNION ALL SELECT 'anomaly', (row_number() OVER (ORDER BY t DESC) - 1)::INT, t, NULL, id FROM a""",
     "append_idempotent": f"{GLOBAL_SURF} SELECT id, ts, series, severity, agreement FROM surf",
     "recent_metrics_as_of": f"""{D600}
 SELECT window_id, window_id * 600.0::DOUBLE + 600 AS window_end, count, count / 600.0::DOUBLE AS rate FROM dense

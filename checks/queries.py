@@ -456,6 +456,24 @@ def stored_incident(spark, sf):
         "anomaly_id", "anomaly_ts", "anomaly_severity", "window_end", "count")
 
 
+def stored_incident_one(spark, sf):
+    """One anomaly by its id, with the stored metrics around it."""
+    m, a = stored_tables(spark, sf)
+    chosen = a.agg(F.max("id")).first()[0]
+    return history.incident(chosen, a, m, TWO.with_(incident_pad=3600.0)).select(
+        "anomaly_id", "anomaly_ts", "anomaly_severity", "window_end", "count")
+
+
+def stored_snapshot(spark, sf):
+    """Every row of both lists that a new client gets, from the stored tables."""
+    shot = history.snapshot(*stored_tables(spark, sf), TWO)
+    m = shot.select(F.lit("metric").alias("kind"), F.posexplode("metrics").alias("pos", "x")).select(
+        "kind", "pos", F.col("x.window_end").alias("t"), F.col("x.count").alias("count"), F.lit(None).cast("string").alias("id"))
+    a = shot.select(F.lit("anomaly").alias("kind"), F.posexplode("anomalies").alias("pos", "x")).select(
+        "kind", "pos", F.col("x.ts").alias("t"), F.lit(None).cast("long").alias("count"), F.col("x.id").alias("id"))
+    return m.unionByName(a)
+
+
 def append_idempotent(spark, sf):
     """The anomaly table after the same batch came twice."""
     _, a = stored_tables(spark, sf)
@@ -725,7 +743,8 @@ QUERIES: dict[str, Query] = {
         ensemble_candidates, cooldown, anomalies, anomalies_three_detectors, baseline, why,
         anomalies_explained,
         incident_window, recent_metrics, recent_metrics_as_of, recent_anomalies, anomaly_listing,
-        last_windows, snapshot, retention, stored_recent_metrics, stored_incident, append_idempotent,
+        last_windows, snapshot, retention, stored_recent_metrics, stored_incident,
+        stored_incident_one, stored_snapshot, append_idempotent,
         idempotent_append, pipeline_stats,
         trend, agreement, detector_scores, sparkline, series_summary, chart_markers,
         stale_intervals,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -75,10 +77,10 @@ def append_by_day(df: DataFrame, path: str, time: str = "time") -> None:
 
 
 def new_rows(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not stored yet, one per key."""
-    return new.dropDuplicates(list(keys)).join(
-        existing.select(*keys).distinct(), on=list(keys), how="left_anti"
-    )
+    """Rows whose key is not stored yet, one per key; missing parts of a key are equal."""
+    stored = existing.select(*[F.col(k).alias(f"_stored_{k}") for k in keys]).distinct()
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in keys])
+    return new.dropDuplicates(list(keys)).join(stored, same, "left_anti")
 
 
 def append_idempotent(
@@ -153,22 +155,54 @@ def list_anomalies(anomalies: DataFrame, cfg: EngineConfig, limit: int = 50) ->
 
 
 def last_n(df: DataFrame, n: int, order: str = "window_id", per_series: bool = True) -> DataFrame:
-    """The newest ``n`` rows, of each series or overall."""
+    """The newest ``n`` rows, of each series or overall (of one time, the first series first)."""
     if not per_series:
-        return df.orderBy(F.col(order).desc()).limit(n)
+        return df.orderBy(F.col(order).desc(), *(["series"] if "series" in df.columns else [])).limit(n)
     newest = Window.partitionBy("series").orderBy(F.col(order).desc())
     return df.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def newest_days(stored: DataFrame, n: int) -> DataFrame:
+    """The last days of a table stored by day that hold its newest ``n`` rows.
+
+    Days are known from the names of the table's folders. They are walked backwards, twice as
+    many at each step, and only the rows of these days are counted, until there are enough.
+    """
+    named = {m[1] for f in stored.inputFiles() if (m := re.search(r"/day=(\d{4}-\d\d-\d\d)/", f))}
+    if "day" not in stored.columns or not named:
+        return stored
+    days, step = sorted(named, reverse=True), 1
+    while step < len(days):
+        recent = stored.where(F.col("day") >= F.lit(days[step - 1]).cast("date"))
+        if recent.limit(n).count() >= n:
+            return recent
+        step *= 2
+    return stored
+
+
+def _in_order(rows: Column, keys: Sequence[tuple[str, int]]) -> Column:
+    """An array of structs ordered by some of their fields, 1 for rising and -1 for falling; the
+    others need no order of their own."""
+    def compare(x: Column, y: Column) -> Column:
+        out = F.lit(0)
+        for name, sign in reversed(keys):
+            out = F.when(x[name] < y[name], F.lit(-sign)).when(x[name] > y[name], F.lit(sign)).otherwise(out)
+        return out
+    return F.array_sort(rows, compare)
+
+
 def snapshot(metrics: DataFrame, anomalies: DataFrame, cfg: EngineConfig) -> DataFrame:
     """One row for a newly connected client: the buffered metrics (oldest first) and
-    anomalies (newest first). Both lists are bounded by the buffer sizes."""
+    anomalies (newest first). Both lists are bounded by the buffer sizes; of stored tables
+    only the days that hold them are read."""
+    metrics, anomalies = newest_days(metrics, cfg.metric_buffer), newest_days(anomalies, cfg.anomaly_buffer)
     m = last_n(metrics, cfg.metric_buffer, "window_end", per_series=False)
     a = recent_anomalies(anomalies, cfg.anomaly_buffer)
-    packed_m = m.agg(F.array_sort(F.collect_list(
-        F.struct("window_end", *[c for c in m.columns if c != "window_end"]))).alias("metrics"))
-    packed_a = a.agg(F.reverse(F.array_sort(F.collect_list(
-        F.struct("ts", *[c for c in a.columns if c not in ("ts", "available")])))).alias("anomalies"))
+    packed_m = m.agg(_in_order(F.collect_list(
+        F.struct("window_end", *[c for c in m.columns if c != "window_end"])), [
+            ("window_end", 1), *([("series", 1)] if "series" in m.columns else [])]).alias("metrics"))
+    packed_a = a.agg(_in_order(F.collect_list(
+        F.struct("ts", *[c for c in a.columns if c not in ("ts", "available")])), [("ts", -1), ("id", 1)]).alias("anomalies"))
     return packed_m.withColumn("anomalies", packed_a.scalar()).withColumn(
         "tick_seconds", F.lit(float(cfg.tick_seconds))).withColumn("source", F.lit(cfg.source))
 
@@ -186,7 +220,8 @@ def incidents(
     further columns of the anomaly to carry, under an ``anomaly_`` prefix.
 
     An interval join as an equi-join: both sides fall into buckets of one pad, an anomaly
-    reaches the three around it, the exact test follows on the bucket matches.
+    reaches the three around it, the exact test follows on the bucket matches. Metrics stored
+    by day are joined on the day as well, so days without an anomaly are not read.
     """
     pad = float(cfg.incident_pad)
     bucket = lambda c: F.floor(c / F.lit(pad)).cast("long")
@@ -197,6 +232,10 @@ def incidents(
     a = whose.withColumn("_b", F.explode(F.sequence(*ends)))
     m = metrics.withColumn("_b", bucket(F.col(t)))
     keys = ["series", "_b"] if on_series else ["_b"]
+    if "day" in metrics.columns:
+        edge = lambda b: F.to_date(from_epoch(b * F.lit(pad)))
+        a = a.withColumn("day", F.explode(F.sequence(edge(F.col("_b")), edge(F.col("_b") + 1))))
+        keys = [*keys, "day"]
     near = F.col(t).between(F.col("anomaly_ts") - pad, F.col("anomaly_ts") + pad)
     found = m.join(a, on=keys, how="inner").where(near).drop("_b")
     bare = whose.join(found.select("anomaly_id", "anomaly_ts"), ["anomaly_id", "anomaly_ts"], "left_anti")

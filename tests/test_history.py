@@ -198,3 +198,43 @@ def test_number_formats(spark):
     assert show(lambda c: tf.age(c, F.lit(10_000.0)), 9_990.0, 9_000.0, 10.0, 20_000.0) == [
         "10s ago", "16m ago", "2h ago", "0s ago"]
     assert show(lambda c: tf.clock(c), 3661.9) == ["01:01:01"]
+
+
+def by_day(spark, tmp_path, days=30):
+    rows = spark.range(days * 24).select(
+        F.timestamp_seconds(F.col("id") * 3600 + 1800).alias("time"), F.lit("all").alias("series"), F.col("id").alias("count"))
+    history.append_by_day(rows, str(tmp_path / "m"))
+    return history.read_metrics(spark, str(tmp_path / "m"))
+
+
+def test_one_incident_reads_its_days_only(spark, tmp_path):
+    m = by_day(spark, tmp_path)
+    a = spark.range(20).select(
+        F.concat(F.lit("a"), "id").alias("id"), (F.col("id") * 86_400 + 86_000).cast("double").alias("ts"),
+        F.lit("all").alias("series"), F.lit("warn").alias("severity"))
+    a.write.parquet(str(tmp_path / "a"))
+    a = spark.read.parquet(str(tmp_path / "a"))
+    cfg = EngineConfig(incident_pad=7200.0)
+    one = history.incident("a5", a, m, cfg)
+    at = 5 * 86_400 + 86_000
+    assert [r["count"] for r in one.collect()] == [
+        i for i in range(720) if at - 7200 <= i * 3600 + 1800 <= at + 7200]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    assert history.incident("nobody", a, m, cfg).count() == 0
+
+
+def test_newest_rows_read_the_last_days_only(spark, tmp_path):
+    m = by_day(spark, tmp_path)
+    for n, days in ((1, 1), (24, 1), (25, 2), (49, 4), (10_000, 30)):
+        found = history.newest_days(m, n)
+        assert found.select("day").distinct().count() == days
+        got = [r["count"] for r in history.last_n(found, n, "window_end", per_series=False).collect()]
+        assert got == list(range(719, max(-1, 719 - n), -1))
+
+
+def test_rows_without_a_series_are_stored_once(spark, tmp_path):
+    rows = spark.sql("select cast(null as string) as series, timestamp_seconds(5) as time, 1 as v")
+    for _ in range(2):
+        history.append_idempotent(rows, str(tmp_path / "t"), keys=("series", "time"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
