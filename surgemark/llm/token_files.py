@@ -252,7 +252,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, sequen
     # Rows of one id are told apart by text; of equal rows any may come first, so these may part.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(text_or_empty()).alias("text")).select(
         "*", F.xxhash64("text").alias("digest"), F.spark_partition_id().alias("origin"))
-    ordered = rows.repartitionByRange(partitions, "doc_id", "digest", "text", "origin").sortWithinPartitions(
+    ordered = rows.repartitionByRange(partitions, "doc_id", "digest", "origin").sortWithinPartitions(
         "doc_id", "digest", "text").select("doc_id", "text")
     files = stage(ordered.mapInArrow(run, "part long, path string, n_docs long, n_tokens long"), "token-parts")
     # One row for each file: the ids before it are those of the files before it.
