@@ -552,6 +552,8 @@ SELECT (SELECT least(count(*), 900)::INT FROM dense) AS n_metrics, (SELECT least
     "retention": f"""{W600}
 SELECT (window_id + 1) * 600000000 AS t_us, series, count, {r("count / 600.0::DOUBLE", 9, "rate")} FROM w
 WHERE (window_id + 1) * 600 >= (SELECT (max(window_id) + 1) * 600 - 7 * 86400 FROM w)""",
+    "expired_days": f"""{W600}, t AS (SELECT series, (window_id + 1) * 600 AS s, count FROM w)
+SELECT series, s::DOUBLE AS window_end, count FROM t WHERE s // 86400 >= (SELECT max(s) // 86400 - 7 FROM t)""",
     "idempotent_append": f"{W3600} SELECT series, window_id, count FROM w",
     "pipeline_stats": f"""{GLOBAL_SURF}
 SELECT (SELECT count(*) FROM events) AS events_seen, (SELECT count(*) FROM dense) AS snapshots,
@@ -656,6 +658,34 @@ SELECT s.series, window_id, 'zscore' AS name, z_flag AS flag, {r("z_score", 6, "
 FROM s JOIN closed c ON c.series = s.series AND window_id <= last
 UNION ALL SELECT s.series, window_id, 'ewma', e_flag, {r("e_score", 6)}
 FROM s JOIN closed c ON c.series = s.series AND window_id <= last""",
+    "stream_anomalies": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 600)}, {dense()},
+{zscore("(count / 600.0::DOUBLE)")}, {ewma("(count / 600.0::DOUBLE)")}, {hst(600)}, {ensemble3(600)},
+{cooldown(2_400.0)}, {sightings(GLOBAL, 600)}, {BASE}, {WHY},
+n AS (SELECT series, window_id, count(*) AS n_why FROM why GROUP BY ALL),
+closed AS (SELECT max(window_id) AS last FROM w WHERE (window_id + 1) * 600000 <= (SELECT max(ts_us) // 1000 FROM ev))
+SELECT 'metric' AS kind, NULL::VARCHAR AS id, (d.window_id + 1) * 600.0::DOUBLE AS t, d.count, NULL::VARCHAR AS severity,
+       NULL::DOUBLE AS score, agreement::INT AS agreement, NULL::INT AS n_why
+FROM dense d JOIN s ON s.window_id = d.window_id WHERE d.window_id <= (SELECT last FROM closed)
+UNION ALL
+SELECT 'anomaly', id, ts, NULL, severity, score, agreement, coalesce(n_why, 0)::INT
+FROM surf LEFT JOIN n ON n.window_id = surf.window_id WHERE surf.window_id <= (SELECT last FROM closed)""",
+    "stream_bootstrap": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 600)}, {dense()},
+{zscore("(count / 600.0::DOUBLE)")}, {ewma("(count / 600.0::DOUBLE)")}, {hst(600)}
+SELECT z.series, z.window_id, z_flag, e_flag, h_flag, {r("z_score", 6)}, {r("e_score", 6)}, {r("h_score", 6)}
+FROM z JOIN e ON e.window_id = z.window_id JOIN h ON h.window_id = z.window_id
+WHERE z.window_id <= (SELECT max(window_id) FROM w WHERE (window_id + 1) * 600000 <= (SELECT max(ts_us) // 1000 FROM ev))""",
+    "stream_idle": f"""WITH {EV},
+kept AS (SELECT * FROM ev WHERE event_type <> 'purchase' OR ts_us < 1704672000000000),
+{windows(TYPE, 3600, "kept")}, {dense("(SELECT max(ts_us) FROM kept) // 3600000000 - 1")},
+{sightings(TYPE, 3600)[1:].replace("FROM ev", "FROM kept")},
+n AS (SELECT series, window_id, count(*) AS n_dims FROM tk GROUP BY ALL)
+SELECT d.series, d.window_id, d.count, coalesce(n_dims, 0)::INT AS n_dims
+FROM dense d LEFT JOIN n ON n.series = d.series AND n.window_id = d.window_id""",
+    "stream_trailing": f"""WITH {EV},
+p AS (SELECT event_type AS series, ts_us // 3600000000 AS hour, count(*) AS n FROM ev GROUP BY ALL),
+c AS (SELECT series, hour + unnest(generate_series(1, 24)) AS hour, n FROM p)
+SELECT series, hour * 3600 AS until, sum(n)::BIGINT AS trailing FROM c
+WHERE hour * 3600000 <= (SELECT max(ts_us) // 1000 FROM ev) GROUP BY ALL""",
     "bm25": BM25,
     "keyword_category": category_sql(),
 }

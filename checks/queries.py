@@ -21,7 +21,7 @@ from surgemark.plans.detection import (
 )
 from surgemark.plans.staging import stage, stage_path, stage_root
 from surgemark.sources import capture, jsonl, recentchange, registry, tables
-from surgemark.streaming import closing, run, scoring
+from surgemark.streaming import closing, handover, run, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,7 @@ HOURLY = EngineConfig(tick_seconds=3600, cooldown_seconds=14_400, detectors=("zs
 BY_TYPE = ("event_type",)
 FLUSH_TO = 1_706_749_200.0      # 2024-02-01 01:00 UTC
 FEED_TICK = 150.0               # a silence over 600 s counts as stale
+QUIET_FROM = 1_704_672_000.0    # 2024-01-08 00:00 UTC
 INGEST_TIME = 1_700_000_000.0
 
 
@@ -426,6 +427,17 @@ def retention(spark, sf):
         F.unix_micros("time").alias("t_us"), "series", "count", half_up(F.col("rate"), 9).alias("rate"))
 
 
+def expired_days(spark, sf):
+    """What a stored metric table holds after its expired days were deleted."""
+    w = win.window_metrics(events(spark, sf), TWO)
+    path = stage_path(spark, "metrics")
+    history.append_by_day(history.metric_table(w.withColumn("detectors", F.lit(None))), path)
+    newest = history.read_metrics(spark, path).agg(F.max("day")).first()[0]
+    if newest is not None:
+        history.drop_expired_days(spark, path, TWO, newest)
+    return history.read_metrics(spark, path).select("series", "window_end", "count")
+
+
 def stored_tables(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Metrics (kept for the retention time) and anomalies, written as the sinks do and read
     back; the anomalies are written twice."""
@@ -732,6 +744,70 @@ def stream_recorded_fold(spark, sf):
     return closed.select("series", "window_id", *win.COUNTS)
 
 
+def in_quarters(spark, ev: DataFrame) -> DataFrame:
+    """Events as a stream of four micro-batches in order of time."""
+    root = stage_path(spark, "quarters")
+    micros = F.unix_micros("ts")
+    first, last = ev.agg(F.min(micros), F.max(micros)).first()
+    for part in range(4):
+        ev.where(F.floor((micros - first) * 4 / (last - first + 1)) == part).write.mode("append").parquet(f"{root}/{part}")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+
+
+def stream_anomalies(spark, sf):
+    """Events to the stored metric and anomaly tables: three detectors, several micro-batches."""
+    root = stage_path(spark, "live")
+    run.stream_anomalies(
+        in_quarters(spark, events(spark, sf).coalesce(1)), root, f"{root}/checkpoint", THREE).awaitTermination()
+    m, a = history.read_metrics(spark, f"{root}/metrics"), history.read_anomalies(spark, f"{root}/anomalies")
+    flags = F.aggregate("detectors", F.lit(0), lambda n, d: n + d["flag"].cast("int"))
+    none = lambda t: F.lit(None).cast(t)
+    return m.select(
+        F.lit("metric").alias("kind"), none("string").alias("id"), F.col("window_end").alias("t"), "count",
+        none("string").alias("severity"), none("double").alias("score"), flags.alias("agreement"), none("int").alias("n_why"),
+    ).unionByName(a.select(
+        F.lit("anomaly").alias("kind"), "id", F.col("ts").alias("t"), none("long").alias("count"), "severity", "score",
+        "agreement", F.size("why").alias("n_why")))
+
+
+def stream_bootstrap(spark, sf):
+    """The first half of the time scored as a batch, the rest by a stream that takes over its state."""
+    run.configure(spark)
+    ev = events(spark, sf)
+    first, last = ev.agg(F.min(epoch(F.col("ts"))), F.max(epoch(F.col("ts")))).first()
+    cut = F.timestamp_seconds(F.floor(F.lit((first + last) / 2) / THREE.tick_seconds) * int(THREE.tick_seconds))
+    past, coming = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+    windows = stage(win.window_metrics(past, THREE), "windows")
+    state = stage(handover.scorer_state(windows, win.dim_topk(win.dim_counts(past, THREE), THREE), THREE), "state")
+    closed = closing.closed_windows(in_quarters(spark, coming.coalesce(1)), THREE)
+    live = run_to_table(scoring.score_stream(closed, THREE, initial=state), "live")
+    rows = score_windows(windows, THREE).select("series", "window_id", "detectors").unionByName(
+        live.select("series", "window_id", "detectors"))
+    of = lambda name: F.filter("detectors", lambda d: d["name"] == name)[0]
+    return rows.select(
+        "series", "window_id", *[of(n)["flag"].alias(f"{n[0]}_flag") for n in THREE.detectors],
+        *[half_up(of(n)["score"], 6).alias(f"{n[0]}_score") for n in THREE.detectors])
+
+
+def stream_idle(spark, sf):
+    """Series that fall quiet get empty windows as the watermark passes: purchases of the first
+    days only, beside every other event."""
+    run.configure(spark)
+    ev = events(spark, sf)
+    quiet = F.timestamp_seconds(F.lit(int(QUIET_FROM)))
+    kept = ev.where((F.col("event_type") != "purchase") | (F.col("ts") < quiet))
+    closed = closing.closed_windows(in_quarters(spark, kept.coalesce(1)), HOURLY, BY_TYPE)
+    return run_to_table(scoring.score_stream(closed, HOURLY, idle=True), "idle").select(
+        "series", "window_id", "count", F.size("sightings").alias("n_dims"))
+
+
+def stream_trailing(spark, sf):
+    """Events of the last day, hour by hour and per event type, on a stream."""
+    ev = with_series(in_quarters(spark, events(spark, sf).coalesce(1)), BY_TYPE).withWatermark("ts", "0 seconds")
+    return run_to_table(health.trailing_panes(ev, "ts", 86_400, 3_600), "trailing").select(
+        "series", F.unix_seconds("until").alias("until"), "trailing")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -743,7 +819,7 @@ QUERIES: dict[str, Query] = {
         ensemble_candidates, cooldown, anomalies, anomalies_three_detectors, baseline, why,
         anomalies_explained,
         incident_window, recent_metrics, recent_metrics_as_of, recent_anomalies, anomaly_listing,
-        last_windows, snapshot, retention, stored_recent_metrics, stored_incident,
+        last_windows, snapshot, retention, expired_days, stored_recent_metrics, stored_incident,
         stored_incident_one, stored_snapshot, append_idempotent,
         idempotent_append, pipeline_stats,
         trend, agreement, detector_scores, sparkline, series_summary, chart_markers,
@@ -754,5 +830,6 @@ QUERIES: dict[str, Query] = {
         metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
         bm25, keyword_category,
         stream_windows, stream_topk, stream_scores, stream_fold, stream_recorded_fold,
+        stream_anomalies, stream_bootstrap, stream_idle, stream_trailing,
     )
 }

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from surgemark.operators.prefix import slice_rows
 
-TRAILING_SECONDS = 300
+TRAILING_SECONDS, PANE_SECONDS = 300, 5
 LAG_YELLOW, LAG_RED = 2.0, 5.0
 SLICE_SECONDS = 86_400
 
@@ -42,6 +42,28 @@ def trailing_count(
     )
 
 
+def trailing_panes(
+    rows: DataFrame, ts: str = "ts", span: int = TRAILING_SECONDS, step: int = PANE_SECONDS,
+    weight: Column | None = None,
+) -> DataFrame:
+    """Rows, or the sum of ``weight`` over them, in the ``span`` seconds up to every ``step``
+    seconds (the end itself left out), for tables and for streams with a watermark on ``ts``.
+
+    Rows combine to panes of one step first, and only these pane counts, one a series and
+    step, reach the ``span / step`` windows that share them. Windows without a row are left out.
+    """
+    if span % step:
+        raise ValueError("span must be a multiple of step")
+    one = F.lit(1) if weight is None else weight
+    panes = rows.groupBy("series", F.window(ts, f"{step} seconds").alias("pane")).agg(
+        F.sum(one).cast("long").alias("n"))
+    return (
+        panes.groupBy("series", F.window(F.window_time("pane"), f"{span} seconds", f"{step} seconds").alias("w"))
+        .agg(F.sum("n").cast("long").alias("trailing"))
+        .select("series", F.col("w.end").alias("until"), "trailing")
+    )
+
+
 def processing_lag(windows: DataFrame, processed_at: Column) -> DataFrame:
     """Seconds between a window's end and its processing, with the dashboard bands."""
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -52,7 +53,8 @@ def _seen_values(sightings: Column) -> Column:
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """A stored metric table with the window end in epoch seconds, as the queries below read it."""
-    return spark.read.parquet(path).withColumn("window_end", epoch(F.col("time")))
+    stored = spark.read.option("ignoreMissingFiles", True).parquet(path)
+    return stored.withColumn("window_end", epoch(F.col("time")))
 
 
 def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
@@ -104,9 +106,54 @@ def append_idempotent(
     fresh.repartition("day").write.mode("append").partitionBy("day").parquet(path)
 
 
+def write_once(new: DataFrame, path: str, run: str, batch: int, time: str = "time") -> None:
+    """The rows of one micro-batch in folders of their own: by day, run and batch number.
+
+    Writing the same batch of the same run again replaces what is there, so a batch repeated
+    after a failure leaves the table as one pass would; nothing is read back. ``run`` names
+    the stream: one that starts anew from another checkpoint counts its batches from zero
+    again and is another run, whose rows stand beside the first's.
+    """
+    (
+        new.withColumn("day", F.to_date(time)).withColumn("run", F.lit(run)).withColumn("batch", F.lit(int(batch)))
+        .repartition("day")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run", "batch").parquet(path)
+    )
+
+
+def written_before(spark: SparkSession, path: str, run: str, batch: int) -> DataFrame | None:
+    """What a table written by ``write_once`` held before this batch, whether or not the
+    batch has been written already; nothing where there is no table yet."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    return stored.where((F.col("run").cast("string") != run) | (F.col("batch") < batch))
+
+
 # -- retention -------------------------------------------------------------------
 
 
+def drop_expired_days(spark: SparkSession, path: str, cfg: EngineConfig, as_of: date) -> list[str]:
+    """Delete the day folders of a stored table that lie wholly before the retention time.
+
+    The oldest kept day is ``retention_days`` before ``as_of``; ``retain`` cuts its rows exactly.
+    Only names of folders are looked at, no data is read. A reader that has listed a day before
+    it goes skips the files gone (``read_metrics``); kept days are never touched.
+    """
+    first = as_of - timedelta(days=cfg.retention_days)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        named = re.fullmatch(r"day=(\d{4}-\d\d-\d\d)", status.getPath().getName())
+        if named and date.fromisoformat(named[1]) < first:
+            fs.delete(status.getPath(), True)
+            gone.append(named[1])
+    return sorted(gone)
+
+
 def latest(df: DataFrame, col: str) -> Column:
     """Largest value of a column as a scalar subquery (one row, computed on Spark)."""
     return df.agg(F.max(col).alias("latest")).scalar()

@@ -12,7 +12,7 @@ from surgemark.config import EngineConfig
 from surgemark.functions.scalar import from_epoch
 from surgemark.operators.ensemble import anomaly_records, apply_cooldown, ensemble
 from surgemark.operators.explain import contributions
-from surgemark.operators.history import anomaly_table, append_idempotent, metric_table
+from surgemark.operators.history import anomaly_table, metric_table, write_once, written_before
 from surgemark.operators.windows import derived_columns
 from surgemark.plans.detection import attach_why
 from surgemark.sources.arrival import stream_lines
@@ -20,6 +20,9 @@ from surgemark.sources.jsonl import parse_recorded
 from surgemark.streaming.closing import closed_windows, configure, fold_stream, read_closed
 from surgemark.streaming.scoring import score_stream
 
+QUERY_ID = "sql.streaming.queryId"       # fixed value: the local property with a stream's own id
+
+
 def read_recorded_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """Recorded JSON lines as an event stream, ``seq`` in order of arrival.
 
@@ -68,22 +71,24 @@ def write_batch(
     rows: DataFrame, batch_id: int, path: str, cfg: EngineConfig,
     on_metric: Callable[[DataFrame], None] | None = None,
     on_anomaly: Callable[[DataFrame], None] | None = None,
+    run: str = "stream",
 ) -> None:
-    """Both outputs of a tick from one path, safe to repeat after a failure."""
+    """Both outputs of a tick, each in folders of this run and batch.
+
+    A batch repeated after a failure, also one between the two tables, replaces its own rows
+    and sees the anomalies as they were before it, so it comes to the same result.
+    """
     spark = rows.sparkSession
     held = rows.persist()
     try:
         scored = scored_view(held, cfg)
         metrics = metric_table(scored)
-        append_idempotent(metrics, f"{path}/metrics", keys=("series", "time"))
-        try:
-            stored = spark.read.parquet(f"{path}/anomalies")
-        except AnalysisException:
-            stored = None
+        write_once(metrics, f"{path}/metrics", run, batch_id)
+        stored = written_before(spark, f"{path}/anomalies", run, batch_id)
         found = anomaly_table(emit_anomalies(scored, stored, cfg))
         if on_anomaly is not None:
             found = found.persist()
-        append_idempotent(found, f"{path}/anomalies")
+        write_once(found, f"{path}/anomalies", run, batch_id)
         if on_metric is not None:
             on_metric(metrics)
         if on_anomaly is not None:
@@ -94,12 +99,18 @@ def write_batch(
 
 def stream_scored(
     scored: DataFrame, path: str, checkpoint: str, cfg: EngineConfig, on_metric=None,
-    on_anomaly=None, **trigger,
+    on_anomaly=None, run: str | None = None, **trigger,
 ) -> StreamingQuery:
+    """``run`` names the rows of this stream in the tables; by default it is the query's id,
+    which lives as long as its checkpoint."""
+    def write(df: DataFrame, n: int) -> None:
+        own = run or df.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        write_batch(df, n, path, cfg, on_metric, on_anomaly, own)
+
     return (
         scored.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(lambda df, n: write_batch(df, n, path, cfg, on_metric, on_anomaly))
+        .foreachBatch(write)
         .start()
     )
 
@@ -107,13 +118,14 @@ def stream_scored(
 def stream_anomalies(
     events: DataFrame, path: str, checkpoint: str, cfg: EngineConfig,
     series_cols: Sequence[str] = (), delay: str = "0 seconds", idle: bool = False,
-    on_metric=None, on_anomaly=None, **trigger,
+    on_metric=None, on_anomaly=None, initial: DataFrame | None = None, **trigger,
 ) -> StreamingQuery:
     """Event stream to stored metrics and anomalies, under the late policy of ``cfg``.
 
     With ``late="fold"`` no event is dropped: a first query closes windows by arrival, and
     the scorer follows the windows it has written. Under ``event_time`` events later than
-    ``delay`` are dropped by the watermark.
+    ``delay`` are dropped by the watermark. ``initial`` is the state that a batch run over
+    the history left (``handover.scorer_state``); the events then start after that history.
     """
     configure(events.sparkSession)
     if cfg.late == "fold":
@@ -121,11 +133,12 @@ def stream_anomalies(
         if not trigger or "availableNow" in trigger:
             folding.awaitTermination()
         return stream_scored(
-            score_stream(read_closed(events.sparkSession, f"{path}/fold"), cfg), path, f"{checkpoint}/score", cfg,
+            score_stream(read_closed(events.sparkSession, f"{path}/fold"), cfg, initial=initial), path,
+            f"{checkpoint}/score", cfg,
             on_metric, on_anomaly, **trigger)
     closed = closed_windows(events, cfg, series_cols, delay)
     return stream_scored(
-        score_stream(closed, cfg, idle), path, checkpoint, cfg, on_metric, on_anomaly, **trigger)
+        score_stream(closed, cfg, idle, initial), path, checkpoint, cfg, on_metric, on_anomaly, **trigger)
 
 
 class BatchDurations(StreamingQueryListener):

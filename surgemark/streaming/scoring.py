@@ -21,6 +21,7 @@ from surgemark.operators.windows import COUNTS
 from surgemark.schemas import RESULT
 
 SWEEP_EVERY = 4_096
+BLOCK = 4_096                 # windows scored and emitted at a time, however long a gap is
 
 STATE = T.StructType([
     T.StructField("lo", T.LongType()), T.StructField("last", T.LongType()),
@@ -232,13 +233,27 @@ class WindowScorer(StatefulProcessor):
                              for d in r["dims"]],
                 }
         s = self._load() or self._start(min(arrived))
-        fresh = [w for w in arrived if w > s["last"]]
-        if fresh:
-            span = range(s["last"] + 1, max(fresh) + 1)
-            out = self._score(key[0], s, [arrived.get(w) or self._empty(w) for w in span])
-            self.core.update(tuple(s[n] for n in STATE.fieldNames()))
-            self._arm(s)
-            yield out
+        upto = max(arrived)
+        if upto > s["last"]:
+            yield from self._advance(key[0], s, upto, arrived)
+
+    def _advance(self, series: str, s: dict, upto: int, arrived: dict) -> Iterator[pd.DataFrame]:
+        """Score up to window ``upto``, empty where nothing arrived, a block at a time."""
+        while s["last"] < upto:
+            span = range(s["last"] + 1, min(upto, s["last"] + BLOCK) + 1)
+            yield self._score(series, s, [arrived.get(w) or self._empty(w) for w in span])
+        self.core.update(tuple(s[n] for n in STATE.fieldNames()))
+        self._arm(s)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Take over what ``handover.scorer_state`` left; its rows come in any order and cut."""
+        for r in initialState.to_dict("records"):
+            if pd.isna(r["dim"]):
+                s = {n: v.tolist() if isinstance(v, np.ndarray) else v for n, v in dict(r["core"]).items()}
+                self.core.update(tuple(s[n] for n in STATE.fieldNames()))
+                self._arm(s)
+            else:
+                self.levels.updateValue((r["dim"], r["value"]), (float(r["level"]), int(r["last"])))
 
     def _arm(self, s: dict) -> None:
         if self.idle:
@@ -251,21 +266,22 @@ class WindowScorer(StatefulProcessor):
         s = self._load()
         closed = timerValues.getCurrentWatermarkInMs() * 1000 // self.cfg.tick_us - 1
         if s is not None and closed > s["last"]:
-            out = self._score(key[0], s, [self._empty(w) for w in range(s["last"] + 1, closed + 1)])
-            self.core.update(tuple(s[n] for n in STATE.fieldNames()))
-            self._arm(s)
-            yield out
+            yield from self._advance(key[0], s, closed, {})
 
     def close(self) -> None:
         pass
 
 
-def score_stream(closed: DataFrame, cfg: EngineConfig, idle: bool = False) -> DataFrame:
+def score_stream(
+    closed: DataFrame, cfg: EngineConfig, idle: bool = False, initial: DataFrame | None = None,
+) -> DataFrame:
     """Gap-free scored windows. ``idle`` also closes empty windows of quiet series as the
-    watermark passes them; it needs a watermarked input."""
+    watermark passes them; it needs a watermarked input. ``initial`` is the state to go on
+    from (``handover.scorer_state``); windows at or before its last one are left out."""
     keyed = closed.select("series", "window_id", *COUNTS, "dims",
                           *(["closed_at"] if idle else [])).groupBy("series")
     return keyed.transformWithStateInPandas(
         statefulProcessor=WindowScorer(cfg, idle), outputStructType=OUTPUT, outputMode="Append",
         timeMode="EventTime" if idle else "None",
+        initialState=None if initial is None else initial.groupBy("series"),
     )

@@ -223,3 +223,136 @@ def test_leading_values_of_a_window_with_very_many(spark, tmp_path, small_shuffl
     assert (row["count"], row.distinct_subjects, row.distinct_actors) == (n, 3000, 1)
     assert [(d.dim, d.rk, d.value, d.cnt) for d in row.dims] == [
         *[("domain", i + 1, f"d{i}", 1) for i in range(3)], *[("lang", i + 1, f"v{i}", 2) for i in range(3)]]
+
+
+def tables_of(spark, out):
+    metrics = spark.read.parquet(f"{out}/metrics")
+    anomalies = spark.read.parquet(f"{out}/anomalies")
+    return (
+        sorted((r.series, r.time, r["count"]) for r in metrics.collect()),
+        sorted((r.id, r.severity, r.score, len(r.why)) for r in anomalies.collect()))
+
+
+def test_failure_between_the_tables_and_a_replay(spark, tmp_path, small_shuffle, monkeypatch):
+    """A batch that fails after its metrics are written is repeated; both tables end as without it."""
+    rows = story()
+    ev = make_events(spark, rows)
+    stream = lambda: spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    feed(spark, ev, str(tmp_path / "in"), [0, 200, 330, 450, len(rows)])
+    start = lambda name: run.stream_anomalies(
+        stream(), str(tmp_path / name), str(tmp_path / f"{name}-ck"), CFG, ("kind",))
+    start("whole").awaitTermination()
+    write, calls = run.write_once, []
+
+    def failing(df, path, *args):
+        calls.append(path)
+        if path.endswith("anomalies") and len(calls) >= 6:
+            raise RuntimeError("lost")
+        return write(df, path, *args)
+
+    monkeypatch.setattr(run, "write_once", failing)
+    q = start("cut")
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    monkeypatch.setattr(run, "write_once", write)
+    start("cut").awaitTermination()
+    assert len(calls) == 6
+    whole = tables_of(spark, str(tmp_path / "whole"))
+    assert tables_of(spark, str(tmp_path / "cut")) == whole and whole[1]
+    # Another run of the same name replaces its rows; one of another name stands beside them.
+    again = scoring.score_stream(closing.closed_windows(stream(), CFG, ("kind",)), CFG)
+    for name, times in (("x", 1), ("x", 1), ("y", 2)):
+        run.stream_scored(again, str(tmp_path / "named"), str(tmp_path / f"named-{name}-{time.time()}"), CFG,
+                          run=name).awaitTermination()
+        assert tables_of(spark, str(tmp_path / "named"))[0] == sorted(whole[0] * times)
+
+
+@pytest.mark.parametrize("cut", [3, 24, 40, 57])
+def test_stream_goes_on_from_a_batch(spark, tmp_path, small_shuffle, cut):
+    """History by batch, the rest by a stream: scores and baselines as of the batch over all."""
+    from surgemark.streaming import handover
+
+    cfg = CFG.with_(ewma_alpha=0.9, zscore_window=20)    # forgets in 50 windows
+    rows = story() + [{"t": 1000 + 10 * 120, "kind": s, "dims": {"lang": "l1"}} for s in "ab"]
+    ev = make_events(spark, [{**r, "seq": i} for i, r in enumerate(rows)])
+    at = F.timestamp_seconds(F.lit(1000 + 10 * cut))
+    past, coming = ev.where(F.col("ts") < at), ev.where(F.col("ts") >= at)
+    windows = win.window_metrics(past, cfg, ("kind",))
+    topk = lambda e: win.dim_topk(win.dim_counts(e, cfg, ("kind",)), cfg)
+    state = handover.scorer_state(windows, topk(past), cfg)
+    coming.coalesce(1).write.parquet(str(tmp_path / "in"))
+    closed = closing.closed_windows(
+        spark.readStream.schema(ev.schema).parquet(str(tmp_path / "in")), cfg, ("kind",))
+    name = f"going{cut}"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        (scoring.score_stream(closed, cfg, initial=state).writeStream.format("memory").queryName(name)
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).start().awaitTermination())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = view(history.metric_table(detect_anomalies(ev, cfg, ("kind",)).windows))
+    got = view(history.metric_table(run.scored_view(spark.table(name), cfg)))
+    assert len(got) == 2 * (60 - cut) and all(got[k] == want[k] for k in got)
+    from surgemark.operators.explain import baselines
+    level = lambda df: {(r.series, r.window_id, r.dim, r.value): round(r.baseline, 8) for r in df.collect()}
+    base = level(baselines(topk(ev), cfg))
+    seen = level(spark.table(name).select("series", "window_id", F.inline("sightings")))
+    assert seen and all(base[k] == v for k, v in seen.items())
+
+
+def test_state_of_an_empty_history(spark):
+    from surgemark.streaming import handover
+
+    ev = make_events(spark, [{"t": 1}]).where("false")
+    assert handover.scorer_state(
+        win.window_metrics(ev, CFG), win.dim_topk(win.dim_counts(ev, CFG), CFG), CFG).count() == 0
+
+
+class Held:
+    """One value or map of state, as the scorer uses it."""
+    def __init__(self):
+        self.held = {}
+
+    def exists(self):
+        return "row" in self.held
+
+    def get(self):
+        return self.held["row"]
+
+    def update(self, row):
+        self.held["row"] = row
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+    def containsKey(self, key):
+        return key in self.held
+
+    def getValue(self, key):
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+
+def test_long_gap_comes_in_blocks():
+    """Two hundred thousand empty windows: no frame holds more than a block, none is left out."""
+    import pandas as pd
+
+    cfg = CFG.with_(detectors=("zscore", "ewma"))
+    scorer = scoring.WindowScorer(cfg, idle=False)
+    scorer.core, scorer.levels = Held(), Held()
+    row = {c: 1 for c in win.COUNTS}
+    frame = pd.DataFrame([{**row, "window_id": w, "dims": [{"dim": "lang", "value": "x", "cnt": 1, "rk": 1}]}
+                          for w in (5, 200_005)])
+    sizes, at = [], 5
+    for out in scorer.handleInputRows(("a",), iter([frame]), None):
+        sizes.append(len(out))
+        assert out["window_id"].iloc[0] == at
+        at += len(out)
+    assert max(sizes) == scoring.BLOCK and sum(sizes) == 200_001
+    assert out["sightings"].iloc[-1][0]["baseline"] == 0.0
