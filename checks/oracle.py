@@ -671,7 +671,8 @@ SELECT 'anomaly', id, ts, NULL, severity, score, agreement, coalesce(n_why, 0)::
 FROM surf LEFT JOIN n ON n.window_id = surf.window_id WHERE surf.window_id <= (SELECT last FROM closed)""",
     "stream_bootstrap": f"""WITH RECURSIVE {EV}, {windows(GLOBAL, 600)}, {dense()},
 {zscore("(count / 600.0::DOUBLE)")}, {ewma("(count / 600.0::DOUBLE)")}, {hst(600)}
-SELECT z.series, z.window_id, z_flag, e_flag, h_flag, {r("z_score", 6)}, {r("e_score", 6)}, {r("h_score", 6)}
+SELECT z.series, z.window_id, z_flag, e_flag, h_flag, {r("z_score", 6, "z_score")}, {r("e_score", 6, "e_score")},
+       {r("h_score", 6, "h_score")}
 FROM z JOIN e ON e.window_id = z.window_id JOIN h ON h.window_id = z.window_id
 WHERE z.window_id <= (SELECT max(window_id) FROM w WHERE (window_id + 1) * 600000 <= (SELECT max(ts_us) // 1000 FROM ev))""",
     "stream_idle": f"""WITH {EV},

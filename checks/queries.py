@@ -778,7 +778,7 @@ def stream_bootstrap(spark, sf):
     cut = F.timestamp_seconds(F.floor(F.lit((first + last) / 2) / THREE.tick_seconds) * int(THREE.tick_seconds))
     past, coming = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
     windows = stage(win.window_metrics(past, THREE), "windows")
-    state = stage(handover.scorer_state(windows, win.dim_topk(win.dim_counts(past, THREE), THREE), THREE), "state")
+    state = handover.scorer_state(windows, win.dim_topk(win.dim_counts(past, THREE), THREE), THREE)
     closed = closing.closed_windows(in_quarters(spark, coming.coalesce(1)), THREE)
     live = run_to_table(scoring.score_stream(closed, THREE, initial=state), "live")
     rows = score_windows(windows, THREE).select("series", "window_id", "detectors").unionByName(

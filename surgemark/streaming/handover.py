@@ -21,6 +21,7 @@ from surgemark.config import FEATURES, EngineConfig
 from surgemark.operators.detectors.hst import split_table
 from surgemark.operators.explain import baselines
 from surgemark.operators.windows import COUNTS, derived_columns
+from surgemark.plans.staging import stage
 from surgemark.streaming.scoring import STATE, WindowScorer, ewma_step
 
 CORE = T.StructType([T.StructField("series", T.StringType()), T.StructField("core", STATE)])
@@ -91,11 +92,12 @@ def _levels(topk: DataFrame, windows: DataFrame, cfg: EngineConfig) -> DataFrame
 def scorer_state(windows: DataFrame, topk: DataFrame, cfg: EngineConfig) -> DataFrame:
     """State of every series after its last window of ``windows`` (``window_metrics``), with the
     kept dimension values ``topk`` (``dim_topk``) of the same windows. Cut both at the end of a
-    window, and let the stream start there."""
+    window, and let the stream start there. The state is written once, so that a stream which
+    starts again after a failure takes over the same rows."""
     none = lambda t: F.lit(None).cast(t)
     core = _core(windows, cfg).select(
         "series", "core", none("string").alias("dim"), none("string").alias("value"),
         none("double").alias("level"), none("bigint").alias("last"))
     levels = _levels(topk, windows, cfg).select(
         "series", none(STATE).alias("core"), "dim", "value", "level", F.col("last").cast("bigint"))
-    return core.unionByName(levels)
+    return stage(core.unionByName(levels), "scorer-state")

@@ -56,6 +56,13 @@ def _result(name: str, flag: bool, score: float, value: float, expected: float,
     }
 
 
+def _as(kind: T.DataType, x):
+    """A state field from pandas, which turns integers beside nulls into floats."""
+    if isinstance(kind, T.ArrayType):
+        return [_as(kind.elementType, v) for v in x]
+    return int(x) if isinstance(kind, T.LongType) else float(x)
+
+
 def sigma_step(delta: float, std: float, threshold: float, direction: str) -> tuple[bool, float, float]:
     """(flag, score, z) of one value; the scalar twin of ``sigma_verdict``."""
     towards = {"up": delta > 0, "down": delta < 0, "both": True}[direction]
@@ -249,7 +256,7 @@ class WindowScorer(StatefulProcessor):
         """Take over what ``handover.scorer_state`` left; its rows come in any order and cut."""
         for r in initialState.to_dict("records"):
             if pd.isna(r["dim"]):
-                s = {n: v.tolist() if isinstance(v, np.ndarray) else v for n, v in dict(r["core"]).items()}
+                s = {f.name: _as(f.dataType, r["core"][f.name]) for f in STATE.fields}
                 self.core.update(tuple(s[n] for n in STATE.fieldNames()))
                 self._arm(s)
             else:

@@ -238,3 +238,33 @@ def test_rows_without_a_series_are_stored_once(spark, tmp_path):
     for _ in range(2):
         history.append_idempotent(rows, str(tmp_path / "t"), keys=("series", "time"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+
+
+def test_expired_days_are_deleted(spark, tmp_path):
+    """Whole days before the retention time go; a reader that listed them before loses only them."""
+    from datetime import date
+
+    from surgemark.functions.scalar import from_epoch
+
+    path = str(tmp_path / "metrics")
+    rows = spark.range(12).select(
+        from_epoch(F.lit(1_704_067_200.0) + F.col("id") * 86_400).alias("time"), F.lit("all").alias("series"), "id")
+    history.append_by_day(rows, path)
+    before = history.read_metrics(spark, path)
+    gone = history.drop_expired_days(spark, path, EngineConfig(retention_days=7), date(2024, 1, 12))
+    assert gone == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04"]
+    assert sorted(r.id for r in before.collect()) == sorted(
+        r.id for r in history.read_metrics(spark, path).collect()) == list(range(4, 12))
+    assert history.drop_expired_days(spark, str(tmp_path / "none"), EngineConfig(), date(2024, 1, 12)) == []
+
+
+def test_one_batch_written_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(3).select(F.timestamp_seconds(F.col("id") * 90_000).alias("time"), "id")
+    assert history.written_before(spark, path, "r", 0) is None
+    for run, batch in (("r", 0), ("r", 1), ("q", 1), ("r", 1)):
+        history.write_once(rows.withColumn("n", F.lit(batch)), path, run, batch)
+    assert spark.read.parquet(path).count() == 9
+    assert history.written_before(spark, path, "r", 1).count() == 6
+    history.write_once(rows.where("false").withColumn("n", F.lit(2)), path, "r", 2)
+    assert spark.read.parquet(path).count() == 9

@@ -238,7 +238,7 @@ def test_failure_between_the_tables_and_a_replay(spark, tmp_path, small_shuffle,
     rows = story()
     ev = make_events(spark, rows)
     stream = lambda: spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    feed(spark, ev, str(tmp_path / "in"), [0, 200, 330, 450, len(rows)])
+    feed(spark, ev, str(tmp_path / "in"), [0, 330, len(rows)])
     start = lambda name: run.stream_anomalies(
         stream(), str(tmp_path / name), str(tmp_path / f"{name}-ck"), CFG, ("kind",))
     start("whole").awaitTermination()
@@ -246,7 +246,7 @@ def test_failure_between_the_tables_and_a_replay(spark, tmp_path, small_shuffle,
 
     def failing(df, path, *args):
         calls.append(path)
-        if path.endswith("anomalies") and len(calls) >= 6:
+        if path.endswith("anomalies") and len(calls) >= 4:
             raise RuntimeError("lost")
         return write(df, path, *args)
 
@@ -256,18 +256,17 @@ def test_failure_between_the_tables_and_a_replay(spark, tmp_path, small_shuffle,
         q.awaitTermination()
     monkeypatch.setattr(run, "write_once", write)
     start("cut").awaitTermination()
-    assert len(calls) == 6
+    assert len(calls) == 4
     whole = tables_of(spark, str(tmp_path / "whole"))
     assert tables_of(spark, str(tmp_path / "cut")) == whole and whole[1]
-    # Another run of the same name replaces its rows; one of another name stands beside them.
+    # A run of the same name replaces its rows.
     again = scoring.score_stream(closing.closed_windows(stream(), CFG, ("kind",)), CFG)
-    for name, times in (("x", 1), ("x", 1), ("y", 2)):
-        run.stream_scored(again, str(tmp_path / "named"), str(tmp_path / f"named-{name}-{time.time()}"), CFG,
-                          run=name).awaitTermination()
-        assert tables_of(spark, str(tmp_path / "named"))[0] == sorted(whole[0] * times)
+    for n in range(2):
+        run.stream_scored(again, str(tmp_path / "named"), str(tmp_path / f"named-{n}"), CFG, run="x").awaitTermination()
+        assert tables_of(spark, str(tmp_path / "named")) == whole
 
 
-@pytest.mark.parametrize("cut", [3, 24, 40, 57])
+@pytest.mark.parametrize("cut", [3, 40])
 def test_stream_goes_on_from_a_batch(spark, tmp_path, small_shuffle, cut):
     """History by batch, the rest by a stream: scores and baselines as of the batch over all."""
     from surgemark.streaming import handover
