@@ -259,11 +259,6 @@ def test_failure_between_the_tables_and_a_replay(spark, tmp_path, small_shuffle,
     assert len(calls) == 4
     whole = tables_of(spark, str(tmp_path / "whole"))
     assert tables_of(spark, str(tmp_path / "cut")) == whole and whole[1]
-    # A run of the same name replaces its rows.
-    again = scoring.score_stream(closing.closed_windows(stream(), CFG, ("kind",)), CFG)
-    for n in range(2):
-        run.stream_scored(again, str(tmp_path / "named"), str(tmp_path / f"named-{n}"), CFG, run="x").awaitTermination()
-        assert tables_of(spark, str(tmp_path / "named")) == whole
 
 
 @pytest.mark.parametrize("cut", [3, 40])
