@@ -20,8 +20,6 @@ from surgemark.operators.windows import (
 from surgemark.plans.staging import stage
 from surgemark.schemas import CONTRIBUTION
 
-# Time buckets that may be broadcast to prune the dimension scan: about 4 MB of keys.
-
 
 @dataclass(frozen=True)
 class Detection:
