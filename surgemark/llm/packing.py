@@ -3,7 +3,7 @@
 A document takes as many places as it has words, and one for its end. Documents longer than
 the largest length are cut, and the rest is packed like any other.
 
-Pieces are dealt out by hash into shards of about ``SHARD`` pieces, whatever the number of
+Pieces are dealt out by hash of id, text and piece into shards of about ``SHARD`` pieces, whatever the number of
 documents, and each shard is packed by itself, longest piece first:
 
 * a piece goes where it leaves the least room;
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from surgemark.llm.common import text_or_empty
+from surgemark.llm.common import shuffle_partitions, text_or_empty
 from surgemark.plans.staging import stage
 
 LENGTHS = (256, 512, 1024, 2048, 4096)
@@ -100,10 +100,11 @@ def pack(docs: DataFrame, *, permitted: tuple[int, ...] = LENGTHS, shard: int =
     permitted = tuple(sorted(permitted))
     top = permitted[-1]
     size = size or (lambda text: n_words(text) + 1)
-    items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size(text_or_empty()).cast("long").alias("n"))
+    items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size(text_or_empty()).cast("long").alias("n"),
+                        F.xxhash64("doc_id", text_or_empty()).alias("digest"))
     pieces = stage(
-        items.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}"))).alias("piece"))
-        .select("doc_id", "piece", (F.col("piece") * top).alias("start"),
+        items.select("doc_id", "n", "digest", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {top}"))).alias("piece"))
+        .select("doc_id", "digest", "piece", (F.col("piece") * top).alias("start"),
                 F.least(F.lit(top), F.col("n") - F.col("piece") * top).alias("n_tokens")), "pack-pieces")
     shards = max(1, -(-pieces.count() // shard))
 
@@ -130,6 +131,8 @@ def pack(docs: DataFrame, *, permitted: tuple[int, ...] = LENGTHS, shard: int =
         if group:
             yield from packed(group)
 
-    dealt = pieces.select(F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard"), "doc_id", "piece", "start", "n_tokens")
-    ordered = dealt.repartition("shard").sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
+    dealt = pieces.select(F.pmod(F.xxhash64("digest", "piece"), F.lit(shards)).alias("shard"), "doc_id", "piece", "start", "n_tokens")
+    # A number of partitions, so that small rows with much work are not merged into few tasks.
+    tasks = min(shards, 4 * shuffle_partitions(docs.sparkSession))
+    ordered = dealt.repartition(tasks, "shard").sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece")
     return ordered.mapInArrow(run, PLACED)
