@@ -443,6 +443,10 @@ SELECT CAST(last_value(CASE WHEN event_id % 3 <> 0 THEN event_id END IGNORE NULL
               OVER (PARTITION BY event_id // 2000 ORDER BY event_id) AS VARCHAR) AS event_id,
        CAST(event_id AS VARCHAR) || chr(10) || event_type AS data
 FROM events QUALIFY event_id % 10 <> 9""",
+    "registered_changes": f"""
+SELECT name, kind, namespace, count(*) AS n, CAST(sum(bytes_delta) AS BIGINT) AS bytes, count(*) FILTER (bot) AS bots,
+       count(DISTINCT subject) AS subjects
+FROM ({CHANGES}) CROSS JOIN (VALUES ('recentchange'), ('capture')) AS t(name) GROUP BY name, kind, namespace""",
     "dedupe": f"WITH {EV} SELECT source, id, kind, bytes_delta FROM ev",
     "rate_cap": f"""WITH {EV} SELECT seq, kind FROM ev
 QUALIFY row_number() OVER (PARTITION BY seq // 5 ORDER BY seq) <= 3""",
@@ -630,6 +634,11 @@ SELECT id, CASE severity WHEN 'critical' THEN 'CRITICAL' WHEN 'warn' THEN 'WARNI
        {fixed("score * 100", 0)} || '%' AS confidence, agreement || '/2 agree' AS agree, '1h ago' AS age,
        CASE WHEN z_flag AND e_flag THEN 'zscore,ewma' WHEN z_flag THEN 'zscore' ELSE 'ewma' END AS fired
 FROM surf""",
+    "anomaly_cards": f"""WITH RECURSIVE {HOUR_WHY}
+SELECT id, rank::INT AS rank, CASE dim WHEN 'domain' THEN 'wiki' WHEN 'lang' THEN 'language' WHEN 'kind' THEN 'type'
+       WHEN 'user_type' THEN 'actor' ELSE dim END || ': ' || why.value AS label,
+       {r("least(100.0::DOUBLE, share * 100)", 6, "width_pct")}, '+' || ({compact("excess")}) AS excess
+FROM surf JOIN why ON why.series = surf.series AND why.window_id = surf.window_id WHERE rank <= 4""",
     "tiles": f"""{W3600},
 m AS (SELECT series, max(window_id) AS window_id FROM w GROUP BY 1)
 SELECT w.series, {compact("(count / 3600.0::DOUBLE)")} AS events_per_sec,

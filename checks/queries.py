@@ -158,6 +158,21 @@ def source_registry(spark, sf):
     return out
 
 
+def registered_changes(spark, sf):
+    """Payloads as lines of text and as captured frames, both read through the registry, by name."""
+    lines, frames = stage_path(spark, "payloads"), stage_path(spark, "frames")
+    payloads = change_payloads(spark, sf).select("value")
+    payloads.write.text(lines)
+    payloads.select(F.concat(F.lit("data: "), "value", F.lit("\n"))).write.text(frames)
+    out = None
+    for name, place in {"recentchange": lines, "capture": frames}.items():
+        rows = registry.read_events(spark, name, place).groupBy("kind", F.col("dims")["namespace"].alias("namespace")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("bytes_delta").alias("bytes"), F.count_if("bot").alias("bots"),
+            F.countDistinct("subject").alias("subjects")).select(F.lit(name).alias("name"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def dedupe(spark, sf):
     ev = events(spark, sf)
     doubled = ev.unionByName(ev.where("bot"))
@@ -639,6 +654,14 @@ def anomaly_report(spark, sf):
                     "age", F.array_join(F.transform("fired", lambda x: F.split_part(x, F.lit(" "), F.lit(1))), ",").alias("fired"))
 
 
+def anomaly_cards(spark, sf):
+    """Anomalies as shown with their reasons, one row for each reason."""
+    cards = report.anomaly_report(detect_anomalies(events(spark, sf), HOURLY, BY_TYPE).anomalies)
+    return cards.select("id", F.posexplode("why").alias("pos", "reason")).select(
+        "id", (F.col("pos") + 1).alias("rank"), "reason.label",
+        half_up(F.col("reason.width_pct"), 6).alias("width_pct"), "reason.excess")
+
+
 def tiles(spark, sf):
     return report.tiles(win.window_metrics(events(spark, sf), HOURLY, BY_TYPE))
 
@@ -812,7 +835,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalise_events, normalise_orders, recentchange_normalise, sse_capture, jsonl_replay, source_registry,
-        dedupe, rate_cap, rate_drops, retime, replay_gaps,
+        registered_changes, dedupe, rate_cap, rate_drops, retime, replay_gaps,
         window_metrics, window_metrics_by_type, orders_windows, window_metrics_gapfilled,
         flush_windows, fold_late_windows, feature_vector, dim_counts, dim_topk,
         zscore, zscore_both, registered_detector, ewma, ewma_fast, ewma_long_history, ewma_down, hst, detector_results,
@@ -827,7 +850,7 @@ QUERIES: dict[str, Query] = {
         health_latest_rate, health_anomalies_trailing, health_drops_trailing, health_lag,
         health_throughput, health_anomalies_by_severity, health_detector_fires,
         health_duration_p95,
-        metric_frame, metric_frame_top, anomaly_frame, anomaly_report, tiles,
+        metric_frame, metric_frame_top, anomaly_frame, anomaly_report, anomaly_cards, tiles,
         bm25, keyword_category,
         stream_windows, stream_topk, stream_scores, stream_fold, stream_recorded_fold,
         stream_anomalies, stream_bootstrap, stream_idle, stream_trailing,

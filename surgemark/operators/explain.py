@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from surgemark.config import EngineConfig
 from surgemark.functions.scalar import half_up
 
 KEY = ["series", "dim", "value", "slice"]
+BLOCK = 64
 
 
 def sliced_sightings(topk: DataFrame, cfg: EngineConfig, length: int) -> DataFrame:
@@ -26,50 +23,56 @@ def sliced_sightings(topk: DataFrame, cfg: EngineConfig, length: int) -> DataFra
     )
 
 
+def _levels(seen: Column, cfg: EngineConfig) -> Column:
+    """The baseline before each sighting of ``seen``, (window_id, cnt, ...) in order of windows.
+
+    The fold holds the last window, its count and the baselines so far; those are appended in
+    blocks, so that what is copied does not grow with the square of the sightings.
+    """
+    keep, gain, prune = F.lit(1.0 - cfg.baseline_alpha), F.lit(cfg.baseline_alpha), F.lit(cfg.baseline_prune)
+
+    def before(s: Column, x: Column) -> Column:
+        level = keep * F.element_at(s["levels"], -1) + gain * s["cnt"]
+        gap = x["window_id"] - s["last"] - 1
+        decayed = level * F.pow(keep, gap)
+        return F.when(gap <= 0, level).when(decayed < prune, 0.0).otherwise(decayed)
+
+    def step(s: Column, x: Column) -> Column:
+        return F.struct(x["window_id"].alias("last"), x["cnt"].alias("cnt"),
+                        F.array_append(s["levels"], before(s, x)).alias("levels"))
+
+    def block(s: Column, rows: Column) -> Column:
+        start = F.struct(s["last"], s["cnt"], F.array(s["level"]).alias("levels"))
+        return F.aggregate(rows, start, step, lambda e: F.struct(
+            e["last"], e["cnt"], F.element_at(e["levels"], -1).alias("level"),
+            F.array_append(s["done"], F.slice(e["levels"], 2, BLOCK)).alias("done")))
+
+    start = F.struct(
+        (F.get(seen, 0)["window_id"] - 1).alias("last"), F.lit(0).cast("long").alias("cnt"),
+        F.lit(0.0).alias("level"), F.array().cast("array<array<double>>").alias("done"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(seen) - 1) / BLOCK).cast("int")),
+                         lambda i: F.slice(seen, i * BLOCK + 1, BLOCK))
+    return F.aggregate(blocks, start, block, lambda e: F.flatten(e["done"]))
+
+
 def scan_baselines(sightings: DataFrame, cfg: EngineConfig, length: int) -> DataFrame:
     """Baseline of each value just before each sighting.
 
     Between sightings ``g`` unseen windows apart the baseline only decays, and a value
     that falls under the prune level while unseen is forgotten, so the work follows
-    sightings, not windows x values. Rows arrive sorted within partitions; the scan keeps
-    one number per key and no group is ever held in memory.
+    sightings, not windows x values. A value's sightings in one slice, at most ``length`` and
+    the halo of them, are folded in the JVM.
     """
-    keep, gain, prune = 1.0 - cfg.baseline_alpha, cfg.baseline_alpha, cfg.baseline_prune
-    schema = "series string, window_id long, dim string, value string, cnt long, rk int, baseline double"
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, last_window, level = None, 0, 0.0
-        for rows in batches:
-            if rows.empty:
-                continue
-            fresh = np.ones(len(rows), dtype=bool)
-            same = np.ones(len(rows) - 1, dtype=bool)
-            for c in KEY:
-                col = rows[c].to_numpy()
-                same &= col[1:] == col[:-1]
-            fresh[1:] = ~same
-            fresh[0] = tuple(rows[KEY].iloc[0]) != last_key
-            before = []
-            for new, w, n in zip(fresh.tolist(), rows["window_id"].tolist(), rows["cnt"].tolist()):
-                if new:
-                    pre = 0.0
-                else:
-                    gap = w - last_window - 1
-                    pre = level * keep ** gap if gap else level
-                    if gap and pre < prune:
-                        pre = 0.0
-                before.append(pre)
-                level = keep * pre + gain * n
-                last_window = w
-            last_key = tuple(rows[KEY].iloc[-1])
-            out = rows.assign(baseline=before)
-            out = out[out["window_id"] >= out["slice"] * length]
-            yield out[["series", "window_id", "dim", "value", "cnt", "rk", "baseline"]]
-
+    folded = (
+        sightings.groupBy(*KEY)
+        .agg(F.sort_array(F.collect_list(F.struct("window_id", "cnt", "rk"))).alias("seen"))
+        .withColumn("level", _levels(F.col("seen"), cfg))
+    )
     return (
-        sightings.repartition(*KEY)
-        .sortWithinPartitions(*KEY, "window_id")
-        .mapInPandas(scan, schema)
+        folded.select(*KEY, F.explode(F.arrays_zip("seen", "level")).alias("s"))
+        .where(F.col("s.seen.window_id") >= F.col("slice") * length)
+        .select("series", "s.seen.window_id", "dim", "value", "s.seen.cnt", "s.seen.rk",
+                F.col("s.level").alias("baseline"))
     )
 
 

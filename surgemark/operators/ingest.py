@@ -40,8 +40,9 @@ def rate_drops(events: DataFrame, cfg: EngineConfig, arrival: Column | None = No
 
 
 def dedupe(events: DataFrame) -> DataFrame:
-    """One event per (source, id); which copy survives is not specified."""
-    return events.dropDuplicates(["source", "id"])
+    """One event per (source, id): the first to arrive by ``seq``, of those the earliest."""
+    first = F.min_by(F.struct("*"), F.struct("seq", "ts"))
+    return events.groupBy("source", "id").agg(first.alias("_event")).select("_event.*")
 
 
 def retime(events: DataFrame, start: float, speed: float = 1.0) -> DataFrame:

@@ -83,3 +83,23 @@ def test_nested_why_is_ordered(spark):
     levels = baselines(sightings(spark, [{"domain": {"a": 3, "b": 9}}]), cfg)
     row = nest_contributions(contributions(levels, cfg)).first()
     assert [c.value for c in row.why] == ["b", "a"]
+
+
+def test_baselines_run_in_the_jvm(spark):
+    plan = baselines(sightings(spark, [{"domain": {"a": 3}}]), EngineConfig())
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "InPandas" not in text
+
+
+def test_many_sightings_of_one_value_in_one_slice(spark):
+    cfg = EngineConfig(baseline_alpha=0.3)
+    counts = [7 + i % 5 for i in range(1_500)]
+    rows = spark.createDataFrame([("all", w, "domain", "a", n, 1) for w, n in enumerate(counts)],
+                                 "series string, window_id long, dim string, value string, cnt long, rk int")
+    got = {r.window_id: r.baseline for r in baselines(rows, cfg, 2_000).collect()}
+    level = 0.0
+    for w, n in enumerate(counts):
+        assert abs(got[w] - level) < 1e-9
+        level = 0.7 * level + 0.3 * n
+    assert len(got) == len(counts)
+    assert baselines(rows.limit(0), cfg).count() == 0

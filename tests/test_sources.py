@@ -119,3 +119,11 @@ def test_retime_and_gaps(spark):
 def test_dedupe(spark):
     ev = make_events(spark, [{"t": 1}])
     assert ingest.dedupe(ev.union(ev)).count() == 1
+
+
+def test_dedupe_keeps_the_first_to_arrive(spark):
+    ev = make_events(spark, [{"t": 1}]).drop("seq", "subject").crossJoin(
+        spark.createDataFrame([(4, "late"), (2, "first"), (9, "last")], "seq long, subject string"))
+    got = ingest.dedupe(ev)
+    assert got.columns == ev.columns
+    assert [(r.seq, r.subject) for r in got.collect()] == [(2, "first")]

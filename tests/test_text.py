@@ -52,3 +52,17 @@ def test_keyword_category(spark):
     df = spark.createDataFrame([(1, "AA x bb"), (2, "aab cc"), (3, "zz"), (4, "aab")], "doc_id long, text string")
     got = {r.doc_id: (r.category, r.hits) for r in text.keyword_category(df, rules=rules, default="none").collect()}
     assert got == {1: ("one", 2), 2: ("two", 2), 3: ("none", 0), 4: ("one", 1)}
+
+
+def test_keyword_category_equals_a_search_for_each_keyword(spark):
+    rng = random.Random(5)
+    rules = {c: ["".join(rng.choices("ab #", k=rng.randint(1, 4))) for _ in range(12)] for c in ("x", "y", "z")}
+    rules["z"] += [rules["z"][0], rules["x"][0]]             # twice in one category, and in two
+    texts = ["", None, "É ab#A", *("".join(rng.choices("abAB #é", k=rng.randint(1, 30))) for _ in range(200))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rule in (rules, {**rules, "y": ["", "ab"]}, {"x": [], "y": []}):
+        for r in text.keyword_category(df, rules=rule, default="none").collect():
+            hits = [sum(k in r.text.lower() for k in words) for words in rule.values()] if r.text is not None else [0]
+            best = max(hits)
+            assert r.category == (list(rule)[hits.index(best)] if best else "none")
+            assert r.hits == (None if r.text is None else best)
