@@ -13,9 +13,9 @@ over the texts' words, each coded as a hash of ``CODE`` bytes.
 3. Buckets. Different runs that share an anchor are suffixes with a common prefix. Spark
    sorts a bucket by the text from the anchor on, which is its part of the suffix array;
    neighbours' common prefixes complete it. A scan with a stack yields the common-prefix
-   intervals. In each, the members' left contexts are compared: where they extend left so
-   far that the match reaches ``LENGTH``, the members form a repeat group, and all of them
-   are marked. An interval in which no left contexts agree so far is passed over.
+   intervals. In each, the same scan over the members' sorted left contexts yields groups
+   that agree to the left as well. A group is a maximal repeat if its members differ in what
+   follows on both sides; where the match reaches ``LENGTH``, all of them are marked.
 4. Full buckets. A bucket of more than ``BUCKET`` runs is not gathered. Its runs are cut by
    window offset on a fixed grid that halves in each round; windows of one cell can only
    match where the text that they all share is equal, which is the new bucket key. Rounds
@@ -23,6 +23,11 @@ over the texts' words, each coded as a hash of ``CODE`` bytes.
 
 Anchors that make up more than a two-thousandth of all are dealt out by digest as well.
 
+``maximal_repeats`` outputs the groups with all their occurrences. There a run with copies
+stands twice in its bucket, so that a group of nothing but copies is found by the same scan,
+and all rows of a full bucket go through the rounds. Groups are maximal within the stretch of
+text that hangs on their anchor: longer repeats show as several groups that overlap.
+
 Odd input: a null text is an empty text; texts under ``LENGTH`` bytes have no repeats;
 longer ones are read in blocks; rows repeated with one doc_id and text repeat each other;
 an empty table gives no rows; other columns are ignored, or returned unchanged by
@@ -33,6 +38,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -143,8 +149,11 @@ def _settle(k: np.ndarray, x, lo, hi, key: np.ndarray, digests: list[bytes], len
         yield _rows(RUN, of[:, 0], of[:, 1], None, s & (1 << 40) - 1, e & (1 << 40) - 1, None, None, None, None, None)
 
 
-def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """RUN rows of all texts (k1, k2, text). A row without key is a span lo..hi to remove."""
+def anchors(docs: DataFrame, length: int, every: bool = False) -> DataFrame:
+    """RUN rows of all texts (k1, k2, text). A row without key is a span lo..hi to remove.
+
+    With ``every``, each run has its own row, and there are no spans.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -165,8 +174,12 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
                                     for x, lo, hi in zip(*(c.tolist() for c in part[:3]))]
                 if found:
                     x, lo, hi, h = np.concatenate(found, axis=1)
-                    yield from _settle(ids[np.concatenate(rows)], x, lo, hi,
-                                       np.stack([h, np.zeros_like(h)], axis=1), digests, length)
+                    k, zero = ids[np.concatenate(rows)], np.zeros_like(h)
+                    if every:
+                        c = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+                        yield _rows(RUN, k[:, 0], k[:, 1], x, lo, hi, h, zero, c[:, 0], c[:, 1], zero + 1)
+                    else:
+                        yield from _settle(k, x, lo, hi, np.stack([h, zero], axis=1), digests, length)
 
     return docs.mapInArrow(run, RUN)
 
@@ -196,7 +209,7 @@ def classify(found: DataFrame) -> DataFrame:
     )
 
 
-CONTEXT = "key1 long, key2 long, size long, k1 long, k2 long, x long, lo long, hi long, back binary, ahead binary"
+CONTEXT = "key1 long, key2 long, size long, times long, c1 long, c2 long, k1 long, k2 long, x long, lo long, hi long, back binary, ahead binary"
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -209,8 +222,8 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 text = batch.column(2)[row].as_py()
                 k = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 for r in batch.column(3)[row].as_py():
-                    x, lo, hi = r["x"], r["lo"], r["hi"]
-                    out.append((r["key1"], r["key2"], r["size"], *k, x, lo, hi, text[lo:x][::-1], text[x:hi + length]))
+                    *known, x, lo, hi = r.values()
+                    out.append((*known, *k, x, lo, hi, text[lo:x][::-1], text[x:hi + length]))
                 if len(out) > 5000:
                     yield _rows(CONTEXT, *zip(*out))
                     out = []
@@ -218,8 +231,9 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 yield _rows(CONTEXT, *zip(*out))
 
     per_row = wanted.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("key1", "key2", "size", "x", "lo", "hi")).alias("wanted"))
-    once = docs.join(per_row, ["k1", "k2"]).select("k1", "k2", "text", "wanted")
+        F.collect_list(F.struct("key1", "key2", "size", "times", "c1", "c2", "x", "lo", "hi")).alias("wanted"))
+    # Rows repeated with one id and text share k1 and k2; one of them is read.
+    once = docs.join(per_row, ["k1", "k2"]).select("k1", "k2", "text", "wanted").dropDuplicates(["k1", "k2"])
     return once.mapInArrow(run, CONTEXT)
 
 
@@ -246,66 +260,100 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((depth, first))
 
 
-def repeat_groups(ahead: list[bytes], back: list[bytes], length: int = LENGTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Repeat groups of a bucket: depth, members, and how far each member's match extends left.
+def repeat_groups(
+    ahead: list[bytes], back: list[bytes], length: int = LENGTH,
+) -> Iterator[tuple[int, np.ndarray, list[tuple[int, int, int]]]]:
+    """Maximal repeats of a bucket, interval by interval of the sorted ``ahead``.
 
-    ``ahead`` is sorted. A group's match reaches from up to ``depth`` bytes after the anchor
-    to the given number before it. Members whose left contexts do not extend far enough for
-    ``length`` bytes in all are left out; so is an interval in which none do.
+    Yields the depth, the interval's members by left context, and the groups (reach, first,
+    last) of neighbours among them. A group is all that hold one string, ``reach`` bytes
+    before the anchor and ``depth`` after, ``length`` or more in all. To the left its members
+    differ where the reach ends; to the right some must lie in different children of the
+    interval, or else the group belongs to a deeper one.
     """
     n = len(ahead)
-    lcp = [common_prefix(ahead[i], ahead[i + 1]) for i in range(n - 1)]
+    lcp = np.array([common_prefix(ahead[i], ahead[i + 1]) for i in range(n - 1)], np.int64)
     order = sorted(range(n), key=back.__getitem__)
     left = np.array([0] + [common_prefix(back[a], back[b]) for a, b in zip(order, order[1:])])
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    for depth, first, last in intervals(lcp):
+    for depth, first, last in intervals(lcp.tolist()):
         members = first + np.argsort(place[first:last + 1])      # by left context
         at = place[members]
         # The common left context of neighbours: the least on the way from one to the next.
         agree = np.minimum.reduceat(left[:at[-1] + 1], at[:-1] + 1)
-        reach = np.maximum(np.concatenate([[0], agree]), np.concatenate([agree, [0]]))
-        far = (reach + depth >= length) & (reach > 0) | (depth >= length)
-        if far.any():
-            yield depth, members[far], reach[far]
+        if agree.max() + depth < length:
+            continue
+        forks = first + np.flatnonzero(lcp[first:last] == depth)      # where children meet
+        groups = []
+        for reach, a, b in intervals(agree.tolist()):
+            if reach + depth >= length:
+                part = members[a:b + 1]
+                fork = np.searchsorted(forks, part.min())
+                if fork < len(forks) and forks[fork] < part.max():
+                    groups.append((reach, a, b))
+        if groups:
+            yield depth, members, groups
 
 
 SPAN = "k1 long, k2 long, lo long, hi long"
+GROUP = "group1 long, group2 long, n_bytes long, before long, key1 long, key2 long, c1 long, c2 long"
+
+
+def _spans(group: list[tuple], length: int) -> list[tuple]:
+    """SPAN rows of a bucket's runs (CONTEXT rows, sorted)."""
+    out = []
+    for depth, members, groups in repeat_groups([g[12] for g in group], [g[11] for g in group], length):
+        reach = np.full(len(members), -1)
+        for r, a, b in reversed(groups):          # the widest first
+            reach[a:b + 1] = r
+        for m, r in zip(members.tolist(), reach.tolist()):
+            k1, k2, x, lo, hi = group[m][6:11]
+            # Offsets of windows in the match, within this run.
+            low, high = max(length - depth, x - hi), min(r, x - lo)
+            if low <= high:
+                out.append((k1, k2, x - high, x - low + length))
+    return out
 
 
-def bucket_spans(found: DataFrame, length: int) -> DataFrame:
-    """Spans k1, k2, lo, hi (end) that repeat, from buckets of at most ``BUCKET`` runs."""
+def _groups(group: list[tuple], length: int) -> list[tuple]:
+    """GROUP rows of a bucket's runs (CONTEXT rows, sorted): each group's runs, once each."""
+    import xxhash
+
+    twice = [i for i, g in enumerate(group) for _ in range(min(g[3], 2))]
+    back, ahead = ([group[i][c] for i in twice] for c in (11, 12))
+    out = []
+    for depth, members, groups in repeat_groups(ahead, back, length):
+        for reach, a, b in groups:
+            m = members[a]
+            known = np.frombuffer(xxhash.xxh3_128_digest(back[m][:reach][::-1] + ahead[m][:depth]), "<i8").tolist()
+            for i in sorted({twice[m] for m in members[a:b + 1].tolist()}):
+                key1, key2, _, _, c1, c2 = group[i][:6]
+                out.append((*known, reach + depth, reach, key1, key2, c1, c2))
+    return out
+
 
-    def spans(group: list[tuple]) -> list[tuple]:
-        out = []
-        for depth, members, reach in repeat_groups([g[7] for g in group], [g[6] for g in group], length):
-            for m, r in zip(members.tolist(), reach.tolist()):
-                _, k1, k2, x, lo, hi, _, _ = group[m]
-                # Offsets of windows in the match, within this run.
-                low, high = max(length - depth, x - hi), min(r, x - lo)
-                if low <= high:
-                    out.append((k1, k2, x - high, x - low + length))
-        return out
+def by_bucket(found: DataFrame, work, schema: str, length: int) -> DataFrame:
+    """What ``work`` finds in buckets (CONTEXT rows) of at most ``BUCKET`` runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
         for batch in batches:
             out: list[tuple] = []
-            columns = [c.to_pylist() for c in batch.columns]
-            for key1, key2, _, *rest in zip(*columns):
-                if group and group[0][0] != (key1, key2):
-                    out += spans(group)
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and group[0][:2] != row[:2]:
+                    out += work(group, length)
                     group = []
                 # Rows repeated with one id and text bring the same run again.
-                if not (group and group[-1][1:4] == tuple(rest[:3])):
-                    group.append(((key1, key2), *rest))
+                if not (group and group[-1][6:9] == row[6:9]):
+                    group.append(row)
             if out:
-                yield _rows(SPAN, *zip(*out))
-        if len(group) > 1 and (out := spans(group)):
-            yield _rows(SPAN, *zip(*out))
+                yield _rows(schema, *zip(*out))
+        if group and (out := work(group, length)):
+            yield _rows(schema, *zip(*out))
 
     dealt = found.repartition("key1", "key2").sortWithinPartitions("key1", "key2", "ahead", "k1", "k2", "x")
-    return dealt.mapInArrow(run, SPAN)
+    return dealt.mapInArrow(run, schema)
 
 
 def halves(found: DataFrame, width: int, length: int) -> DataFrame:
@@ -319,7 +367,7 @@ def halves(found: DataFrame, width: int, length: int) -> DataFrame:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             out: list[tuple] = []
-            for key1, key2, _, k1, k2, x, lo, hi, back, ahead in zip(*(c.to_pylist() for c in batch.columns)):
+            for key1, key2, _, _, _, _, k1, k2, x, lo, hi, back, ahead in zip(*(c.to_pylist() for c in batch.columns)):
                 for cell in range((x - hi) // width, (x - lo) // width + 1):
                     g0, g1 = cell * width, min((cell + 1) * width, offsets) - 1
                     d0, d1 = max(g0, x - hi), min(g1, x - lo)
@@ -334,29 +382,44 @@ def halves(found: DataFrame, width: int, length: int) -> DataFrame:
     return found.mapInArrow(run, RUN + ", back binary, ahead binary")
 
 
+def rounds(
+    docs: DataFrame, found: DataFrame, length: int, every: bool = False,
+) -> Iterator[tuple[DataFrame, DataFrame, int]]:
+    """Classes of runs and the buckets to compare, and the grid's width for the next round.
+
+    Of equal runs one is compared; in full buckets ``every`` one goes on, if asked for.
+    """
+    wanted = "size > 1 and (first or size > %d)" % BUCKET if every else "size > 1 and first"
+    width = 1 << (length - gram(length)).bit_length()
+    seen = stage(classify(found), "repeat-classes")
+    compared = stage(contexts(docs, seen.where(wanted), length), "repeat-contexts")
+    while True:
+        full = compared.where(F.col("size") > BUCKET)
+        width //= 2
+        more = width > 0 and not full.isEmpty()
+        yield seen, compared.where(F.col("size") <= BUCKET), width if more else 0
+        if not more:
+            return
+        seen = stage(classify(stage(halves(full, width, length), "repeat-halves")), "repeat-classes")
+        compared = seen.where(wanted).select(*[f.split()[0] for f in CONTEXT.split(", ")])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Spans k1, k2, lo, hi (end) of repeats in ``docs`` (k1, k2, text as bytes); may overlap."""
     found = stage(anchors(docs, length), "repeat-anchors")
-    seen = stage(classify(found), "repeat-classes")
     # Runs that occur twice are repeats; of those with one key and different bytes, one each is compared.
-    spans = [found.where("key1 is null").select("k1", "k2", "lo", "hi"),
-             seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + length).alias("hi"))]
-    compared = stage(contexts(docs, seen.where("first and size > 1"), length), "repeat-contexts")
-    spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET), length))
-    full = compared.where(F.col("size") > BUCKET)
-    width = 1 << (length - gram(length)).bit_length()
-    while width > 1 and not full.isEmpty():
-        width //= 2
-        found = stage(halves(full, width, length), "repeat-halves")
-        seen = stage(classify(found), "repeat-classes")
+    spans = [found.where("key1 is null").select("k1", "k2", "lo", "hi")]
+    for seen, buckets, _ in rounds(docs, found, length):
         spans.append(seen.where("times > 1").select("k1", "k2", "lo", (F.col("hi") + length).alias("hi")))
-        compared = seen.where("first and size > 1").select(*[f.split()[0] for f in CONTEXT.split(", ")])
-        spans.append(bucket_spans(compared.where(F.col("size") <= BUCKET), length))
-        full = compared.where(F.col("size") > BUCKET)
-    out = spans[0]
-    for more in spans[1:]:
-        out = out.unionByName(more)
-    return out
+        spans.append(by_bucket(buckets, _spans, SPAN, length))
+    return _union(spans)
 
 
 # --- results ---------------------------------------------------------------------------
@@ -369,6 +432,41 @@ def _with_keys(docs: DataFrame) -> DataFrame:
                       F.xxhash64(F.lit(1), text, "row.doc_id").alias("k2"), text.cast("binary").alias("text"))
 
 
+class Repeats(NamedTuple):
+    """``groups``: group1, group2 (a digest), n_bytes, run1, run2, before; ``runs``: run1, run2, doc_id, anchor.
+
+    A group occurs in each row of each of its runs, from ``anchor - before`` on.
+    """
+    groups: DataFrame
+    runs: DataFrame
+
+    def occurrences(self) -> DataFrame:
+        """group1, group2, n_bytes, doc_id, start: one row for each occurrence of each group."""
+        return self.groups.join(self.runs, ["run1", "run2"]).select(
+            "group1", "group2", "n_bytes", "doc_id", (F.col("anchor") - F.col("before")).alias("start"))
+
+
+def maximal_repeats(docs: DataFrame, length: int = LENGTH) -> Repeats:
+    """Groups of equal strings of ``length`` bytes or more, in the bytes of each row's text, with
+    all their occurrences. Groups hold classes of equal runs, so copies are not multiplied."""
+    keyed = _with_keys(docs)
+    texts = keyed.select("k1", "k2", "text")
+    run = [F.xxhash64(F.lit(i), "key1", "key2", "c1", "c2").alias(f"run{i}") for i in (1, 2)]
+    groups, runs, last = [], [], False
+    found = stage(anchors(texts, length, every=True), "repeat-anchors")
+    for seen, buckets, width in rounds(texts, found, length, every=True):
+        groups.append(by_bucket(buckets, _groups, GROUP, length).select("group1", "group2", "n_bytes", "before", *run))
+        # No other run has its key; in single windows, none can.
+        alone = seen.where("first and times > 1").where(F.lit(True) if last else F.col("size") == 1)
+        groups.append(alone.select(
+            F.col("c1").alias("group1"), F.col("c2").alias("group2"), (F.col("hi") - F.col("lo") + length).alias("n_bytes"),
+            (F.col("x") - F.col("lo")).alias("before"), *run))
+        runs.append(seen.select(*run, "k1", "k2", F.col("x").alias("anchor")))
+        last = width == 1
+    ids = keyed.select("k1", "k2", F.col("row.doc_id").cast("long").alias("doc_id")).distinct()
+    return Repeats(_union(groups), _union(runs).join(ids, ["k1", "k2"]).select("run1", "run2", "doc_id", "anchor"))
+
+
 def coded(docs: DataFrame) -> DataFrame:
     """``docs`` (k1, k2, text as bytes) with each word coded in ``CODE`` bytes, and no blanks."""
 

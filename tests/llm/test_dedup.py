@@ -217,6 +217,58 @@ def test_interval_tree():
     assert found == brute_force
 
 
+def test_groups_are_maximal_to_both_sides():
+    rng = np.random.default_rng(7)
+    for _ in range(40):
+        rows = sorted({(bytes(rng.integers(97, 99, 6).tolist()), bytes(rng.integers(97, 99, 5).tolist())) for _ in range(14)})
+        ahead, back = [a for a, _ in rows], [b for _, b in rows]
+        n, common = len(rows), repeats.common_prefix
+        want = set()
+        for i in range(n):
+            for j in range(i):
+                d, r = common(ahead[i], ahead[j]), common(back[i], back[j])
+                if d + r >= 5:
+                    same = [k for k in range(n) if ahead[k][:d] == ahead[i][:d] and back[k][:r] == back[i][:r]]
+                    want.add((d, r, tuple(same)))
+        got = [(d, r, tuple(sorted(members[a:b + 1].tolist())))
+               for d, members, groups in repeats.repeat_groups(ahead, back, 5) for r, a, b in groups]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("bucket", [512, 2])
+def test_groups_hold_all_occurrences(make_docs, odd, bucket, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET", bucket)
+    docs = [*odd, *((900 + i, odd[12][1] + "x" * i) for i in range(4)), *((950 + i, odd[14][1]) for i in range(3))]
+    texts = {d: (t or "").encode() for d, t in docs}
+    groups = collections.defaultdict(set)
+    for r in repeats.maximal_repeats(make_docs(docs)).occurrences().collect():
+        groups[r.group1, r.group2, r.n_bytes].add((r.doc_id, r.start))
+    held, places = set(), collections.defaultdict(set)
+    for d, t in texts.items():
+        for i in range(len(t) - 399):
+            places[t[i:i + 400]].add((d, i))
+    for (_, _, n), found in groups.items():
+        assert n >= 400 and len(found) > 1 and len({texts[d][i:i + n] for d, i in found}) == 1
+        d, i = min(found)
+        for k in range(n - 399):
+            if {(e, j + k) for e, j in found} == places[texts[d][i + k:i + k + 400]]:
+                held.add(texts[d][i + k:i + k + 400])
+    assert held == {w for w, where in places.items() if len(where) > 1}
+
+
+def test_rows_of_one_id_and_text_are_read_once(make_docs, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET", 2)
+    rng = np.random.default_rng(12)
+    base = "".join(map(chr, rng.integers(97, 123, 500)))
+    docs = make_docs([*[(1, base)] * 3000, (2, base[:-1] + "!")])
+    keyed = repeats._with_keys(docs).select("k1", "k2", "text")
+    seen = repeats.classify(repeats.anchors(keyed, 400))
+    wanted = seen.where("first and size > 1")
+    assert repeats.contexts(keyed, wanted, 400).count() == wanted.count() > 0
+    got = repeats.repeat_report(docs).groupBy("doc_id", "n_removed").count().collect()
+    assert {(r.doc_id, r.n_removed, r["count"]) for r in got} == {(1, 500, 3000), (2, 499, 1)}
+
+
 def test_fingerprints(make_docs, odd):
     out = by_id(fingerprints.edit_fingerprints(make_docs(odd), buckets=5))
     want = brute.edited(odd)
