@@ -3,7 +3,8 @@
 ``spark.read.format("arrivals").load(path)`` and ``spark.readStream...`` give (seq, value), one
 row for each line. ``seq`` is the place of the line's first byte in all files laid end to end,
 so it rises with arrival, is the same in every read, and needs no counting ahead: splits of a
-file are read in parallel.
+file (option ``splitBytes``) are read in parallel. A task reads several splits and files if they
+are small, up to ``taskBytes``, so the number of tasks follows the bytes and not the files.
 
 Files are ordered by the time they were last written; the part files of one Spark job, told by
 the job's id in their names, stay together in their order, timed by the earliest of them. What
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SPLIT_BYTES = 64 << 20
+TASK_BYTES = 8 << 20
+OPEN_BYTES = 16 << 10         # what opening one more split counts for
 CHUNK_BYTES = 4 << 20
 DEFLATED = 1_100              # more bytes than one compressed byte can stand for
 PART = re.compile(r"part-(\d+)-([0-9a-f]{8}-[0-9a-f-]{27})(?:-\w*?(\d+))?")
@@ -58,12 +61,18 @@ class File:
         return self.base + (self.size * DEFLATED if self.packed else self.size)
 
 
-@dataclass
-class Split(InputPartition):
+@dataclass(frozen=True)
+class Split:
     path: str
     base: int
     start: int
     end: int | None           # None: the whole of a packed file
+    size: int
+
+
+@dataclass
+class Task(InputPartition):
+    splits: list[Split]
 
 
 def by_arrival(found: list[tuple[str, int, int]]) -> list[tuple[str, int]]:
@@ -80,14 +89,17 @@ def by_arrival(found: list[tuple[str, int, int]]) -> list[tuple[str, int]]:
 
 
 class Arrivals:
-    """The admitted files of a recording, in order, and those not admitted yet."""
+    """The admitted files of a recording, in order, and those not admitted yet.
 
-    def __init__(self, options: dict):
+    Tasks that only read splits leave the log alone (``admitted=False``)."""
+
+    def __init__(self, options: dict, admitted: bool = True):
         self.system, self.root = filesystem(options["path"])
         self.log = filesystem(options["log"])[1] if options.get("log") else f"{self.root}/_arrivals"
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
+        self.task = int(options.get("taskbytes", TASK_BYTES))
         self.files: list[File] = []
-        for info in sorted(self._listed(self.log), key=lambda i: i.path):
+        for info in sorted(self._listed(self.log), key=lambda i: i.path) if admitted else ():
             with self.system.open_input_stream(info.path) as f:
                 self.files += [File(*e) for e in json.loads(f.read())]
 
@@ -131,11 +143,24 @@ class Arrivals:
         out = []
         for f in files:
             if f.packed:
-                out.append(Split(f.path, f.base, 0, None))
+                out.append(Split(f.path, f.base, 0, None, f.size))
             else:
-                out += [Split(f.path, f.base, at, min(at + self.split, f.size)) for at in range(0, f.size, self.split)]
+                out += [Split(f.path, f.base, at, end, end - at) for at in range(0, f.size, self.split)
+                        for end in (min(at + self.split, f.size),)]
         return out
 
+    def tasks(self, files: list[File]) -> list[Task]:
+        """Splits in order, as many to a task as ``taskBytes`` allow."""
+        out: list[Task] = []
+        room = 0
+        for split in self.splits(files):
+            if not out or room < split.size:
+                out.append(Task([]))
+                room = self.task
+            out[-1].splits.append(split)
+            room -= split.size + OPEN_BYTES
+        return out or [Task([])]
+
     def read(self, split: Split) -> Iterator[pa.RecordBatch]:
         """Lines that start in a split; the last may end beyond it."""
         if split.end is None:
@@ -178,16 +203,22 @@ def _batch(places: list[int], lines: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(text, pa.string())], schema=SCHEMA)
 
 
+def read_task(options: dict, task: Task) -> Iterator[pa.RecordBatch]:
+    found = Arrivals(options, admitted=False)
+    for split in task.splits:
+        yield from found.read(split)
+
+
 class ArrivalReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
 
     def partitions(self) -> list[Split]:
         found = Arrivals(self.options)
-        return found.splits([*found.files, *found.waiting()]) or [Split("", 0, 0, 0)]
+        return found.tasks([*found.files, *found.waiting()])
 
-    def read(self, split: Split) -> Iterator[pa.RecordBatch]:
-        return Arrivals(self.options).read(split) if split.path else iter(())
+    def read(self, task: Task) -> Iterator[pa.RecordBatch]:
+        return read_task(self.options, task)
 
 
 class ArrivalStreamReader(DataSourceStreamReader):
@@ -208,10 +239,10 @@ class ArrivalStreamReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Split]:
         found = self._arrivals()
-        return found.splits(found.files[start["files"]:end["files"]]) or [Split("", 0, 0, 0)]
+        return found.tasks(found.files[start["files"]:end["files"]])
 
-    def read(self, split: Split) -> Iterator[pa.RecordBatch]:
-        return Arrivals(self.options).read(split) if split.path else iter(())
+    def read(self, task: Task) -> Iterator[pa.RecordBatch]:
+        return read_task(self.options, task)
 
 
 class ArrivalSource(DataSource):

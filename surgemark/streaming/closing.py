@@ -179,12 +179,18 @@ def fold_batch(
         .withColumn("window_id", window_id(F.col("ts"), cfg))
     )
     waiting = _table(spark, f"{path}/open/{batch_id - 1}") if batch_id > 0 else None
-    placed = fold_late(fresh if waiting is None else fresh.unionByName(waiting))
-    current = placed.groupBy("series").agg(F.max("window_id").alias("_open"))
-    split = placed.join(current, "series")
-    split.where("window_id = _open").drop("_open").write.mode("overwrite").parquet(
-        f"{path}/open/{batch_id}")
-    _write_closed(split.where("window_id < _open").drop("_open"), f"{path}/closed/batch={batch_id}", cfg)
+    # Read once, folded once: everything below asks for these rows several times.
+    arrived = (fresh if waiting is None else fresh.unionByName(waiting)).persist()
+    placed = fold_late(arrived).persist()
+    try:
+        current = placed.groupBy("series").agg(F.max("window_id").alias("_open"))
+        split = placed.join(current, "series")
+        split.where("window_id = _open").drop("_open").write.mode("overwrite").parquet(
+            f"{path}/open/{batch_id}")
+        _write_closed(split.where("window_id < _open").drop("_open"), f"{path}/closed/batch={batch_id}", cfg)
+    finally:
+        placed.unpersist()
+        arrived.unpersist()
     if batch_id > 1:                  # the batch before this one is committed, so nothing reads it again
         _forget(spark, f"{path}/open/{batch_id - 2}")
 

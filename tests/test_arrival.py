@@ -94,3 +94,32 @@ def test_fold_of_a_recording_without_late_events_is_event_time(spark, tmp_path):
     # A batch read folds in the same order.
     folded = win.window_metrics(jsonl.read_recording(spark, src), cfg.with_(late="fold"))
     assert {r.window_id: r["count"] for r in folded.collect()} == got
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    """Three hundred files in splits of five bytes: a few tasks, and the same lines in the same order."""
+    for i in range(300):
+        put(tmp_path, f"{i:03}.log", b"abc%03d\nx\n" % i, i + 1)
+    rows = arrival.read_lines(spark, str(tmp_path), splitBytes=5)
+    assert rows.rdd.getNumPartitions() <= 2
+    want = [v for i in range(300) for v in (f"abc{i:03}", "x")]
+    assert [r.value for r in rows.orderBy("seq").collect()] == want
+    cut = arrival.read_lines(spark, str(tmp_path), splitBytes=5, taskBytes=40_000)
+    assert 100 < cut.rdd.getNumPartitions() < 1000
+    assert [r.value for r in cut.orderBy("seq").collect()] == want
+
+
+def test_a_batch_is_read_once_however_much_follows(spark, tmp_path):
+    cfg = EngineConfig(tick_seconds=10)
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    ev = make_events(spark, [{"t": i, "seq": i, "dims": {"lang": "x"}} for i in range(100)]).coalesce(1)
+    closing.fold_batch(ev.mapInPandas(passed, ev.schema), 0, str(tmp_path), cfg)
+    closed = spark.read.parquet(str(tmp_path / "closed"))
+    assert sorted((r.window_id, r["count"]) for r in closed.collect()) == [(w, 10) for w in range(9)]
+    assert seen.value <= 200
