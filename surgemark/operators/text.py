@@ -58,7 +58,9 @@ def bm25(
     The query vocabulary is stored first, so the planner knows its size: as long as it can
     be sent everywhere, each document is tokenised once, and only its postings of query terms
     and one row with its length leave the map side, combined there. They are stored when
-    ``staged``. Ties go to the smaller document id, scores being compared at nine decimals
+    ``staged``. Before scoring they are dealt by document, not by term, and meet the terms of all
+    queries there (sent to them while these are few): a term that every document holds is spread
+    over all tasks, and the scores of a document are summed where they arise. Ties go to the smaller document id, scores being compared at nine decimals
     so that the order terms are summed in cannot decide.
     """
     asked = (
@@ -87,11 +89,13 @@ def bm25(
         .withColumn("idf", F.log((F.col("_t.n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0))
         .select("query_id", "term", "weight", "idf", F.col("_t.avg_len").alias("avg_len"))
     )
+    if staged:
+        terms = stage(terms, "terms")
     norm = F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len"))
     part = F.col("weight") * F.col("idf") * F.col("tf") * F.lit(K1 + 1) / (F.col("tf") + norm)
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
     return (
-        postings.join(terms, "term")
+        postings.repartition("doc_id").join(terms, "term")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(part).alias("_exact"))
         .where("_exact > 0")

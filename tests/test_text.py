@@ -66,3 +66,14 @@ def test_keyword_category_equals_a_search_for_each_keyword(spark):
             best = max(hits)
             assert r.category == (list(rule)[hits.index(best)] if best else "none")
             assert r.hits == (None if r.text is None else best)
+
+
+def test_postings_meet_the_terms_by_document(spark):
+    """A term that every document holds is not dealt to one task."""
+    d = spark.createDataFrame([(i, "the window") for i in range(20)], "doc_id long, text string")
+    q = spark.createDataFrame([(1, "the spike"), (2, "the window")], "query_id long, text string")
+    found = text.bm25(d, q, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and "hashpartitioning(term" not in plan
+    assert [(r.query_id, r.doc_id) for r in found.orderBy("query_id", "rank").collect()] == [
+        (q, i) for q in (1, 2) for i in range(3)]
