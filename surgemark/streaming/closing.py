@@ -2,20 +2,20 @@
 
 Two policies. ``event_time`` waits for a watermark and drops what comes later; it is one
 append-mode aggregation keyed by (series, window, dim, value), whose closed groups are cut to
-the K leading values of each dimension, in salted parts first where asked for. So the events
-of a hot window or a single series meet no single task, and no task holds a window's values:
-it holds K of each dimension while they pass. ``fold`` never drops: late events count in the window that
-is open when they arrive, worked out batch by batch with the batch operators.
+the K leading values of each dimension, many windows at a time, in salted parts first where
+asked for. So the events of a hot window or a single series meet no single task, and no task
+holds a window's values: it holds K of each dimension while they pass. ``fold`` never drops:
+late events count in the window that is open when they arrive, worked out batch by batch with
+the batch operators.
 """
 
 from __future__ import annotations
 
-import math
-from bisect import insort
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from surgemark.config import EngineConfig
@@ -25,6 +25,12 @@ from surgemark.operators.windows import (
 )
 
 SUBJECT, ACTOR, TOTAL = "@subject", "@actor", "@all"
+COUNTED = [SUBJECT, ACTOR, TOTAL]
+WINDOW = ["series", "window_id"]
+SUMMED = {"closed_at": "first", "n": "sum", SUBJECT: "sum", ACTOR: "sum", "bots": "sum", "news": "sum", "bytes": "sum"}
+PARTS = 128                   # groups that closed windows are dealt into
+HELD = 50_000                 # rows of a group that are merged at a time
+LAST_SEQ = 2 ** 63 - 1        # stands for a missing sequence number
 CLOSED_SCHEMA = (
     "series string, window_id long, count long, distinct_subjects long, distinct_actors long, "
     "bot_count long, new_count long, bytes_changed long, "
@@ -90,28 +96,32 @@ def closed_windows(
     )
     configure(events.sparkSession)
     closed = values.select(
-        "series", window_id(F.col("w.start"), cfg).alias("window_id"), "dim", "value", "cnt", "first_seq",
-        "bots", "news", "bytes", F.window_time("w").alias("closed_at"))
+        "series", window_id(F.col("w.start"), cfg).alias("window_id"), "dim", "value", "cnt",
+        F.coalesce("first_seq", F.lit(LAST_SEQ)).alias("first_seq"), "bots", "news",
+        F.coalesce("bytes", F.lit(0)).alias("bytes"), F.window_time("w").alias("closed_at"))
+    whole = ["series", "window_id"]
     if salts > 1:
-        part = F.pmod(F.xxhash64("dim", "value"), F.lit(salts))
-        parted = closed.withColumn("salt", part).groupBy("series", "window_id", "salt")
-        closed = _leading(parted, LeadingValues(cfg, False), PARTIAL)
+        parted = closed.withColumn("salt", F.pmod(F.xxhash64("dim", "value"), F.lit(salts)))
+        closed = _leading(parted, [*whole, "salt"], LeadingValues(cfg, False), PARTIAL)
     # What salted parts pass on is counted already.
-    return _leading(closed.groupBy("series", "window_id"), LeadingValues(cfg, True, salts > 1), CLOSED_AT)
+    return _leading(closed, whole, LeadingValues(cfg, True, salts > 1), CLOSED_AT)
 
 
-def _leading(groups, processor: StatefulProcessor, schema: str) -> DataFrame:
-    return groups.transformWithState(
+def _leading(values: DataFrame, keys: Sequence[str], processor: StatefulProcessor, schema: str) -> DataFrame:
+    """Windows (or salted parts) pass the processor in ``PARTS`` groups of whole ones."""
+    groups = values.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(PARTS))).groupBy("part")
+    return groups.transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime",
         eventTimeColumnName="closed_at")
 
 
 class LeadingValues(StatefulProcessor):
-    """Counters and the leading dimension values of a closed window, or of a salted part of it.
+    """Counters and the leading dimension values of closed windows, or of salted parts of them.
 
     The aggregation before it emits all values of a window in the batch that closes the window,
-    so a group is complete when it arrives and nothing has to outlast the batch. Rows pass one
-    by one; of each dimension the ``dim_topk`` greatest counts are held, earlier seen ones first.
+    so a group is complete when it arrives and nothing has to outlast the batch. Rows pass in
+    frames of bounded size; of each window and dimension the ``dim_topk`` greatest counts are
+    held, earlier seen ones first.
     """
 
     def __init__(self, cfg: EngineConfig, final: bool, counted: bool = False) -> None:
@@ -120,36 +130,56 @@ class LeadingValues(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best: dict[str, list[tuple]] = {}
-        found = {SUBJECT: 0, ACTOR: 0, TOTAL: 0}
-        bots = news = size = 0
-        for r in rows:
-            closed_at = r.closed_at
-            if r.dim in found:
-                found[r.dim] += r.cnt if self.counted or r.dim == TOTAL else 1
-                if r.dim == TOTAL:
-                    bots, news, size = bots + r.bots, news + r.news, size + r.bytes
-                continue
-            first = math.inf if r.first_seq is None else r.first_seq
-            held, item = best.setdefault(r.dim, []), (-r.cnt, first, r.value)
-            if len(held) < self.k or item < held[-1]:
-                insort(held, item)
-                del held[self.k:]
-        if self.final:
-            dims = [Row(dim=dim, rk=i + 1, value=value, cnt=-n) for dim in self.dims
-                    for i, (n, _, value) in enumerate(best.get(dim, []))]
-            yield Row(series=key[0], window_id=key[1], count=found[TOTAL], distinct_subjects=found[SUBJECT],
-                      distinct_actors=found[ACTOR], bot_count=bots, new_count=news, bytes_changed=size, dims=dims,
-                      closed_at=closed_at)
-            return
-        passed = [(dim, None, n, None) for dim, n in found.items() if n]
-        passed += [(dim, value, -n, None if first == math.inf else first)
-                   for dim, held in best.items() for n, first, value in held]
-        for dim, value, n, first in passed:
-            mine = (bots, news, size) if dim == TOTAL else (0, 0, 0)
-            yield Row(series=key[0], window_id=key[1], dim=dim, value=value, cnt=n, first_seq=first, bots=mine[0],
-                      news=mine[1], bytes=mine[2], closed_at=closed_at)
+    def _merge(self, frames: list[pd.DataFrame]) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Sums of the counters, and the leading values, of rows and of earlier results."""
+        sums = pd.concat([f for f in frames if "n" in f]).groupby(WINDOW, as_index=False, dropna=False).agg(SUMMED)
+        best = pd.concat([f for f in frames if "n" not in f])
+        best = best.sort_values([*WINDOW, "dim", "cnt", "first_seq", "value"], ascending=[True] * 3 + [False, True, True])
+        return sums, best.groupby([*WINDOW, "dim"], sort=False, dropna=False).head(self.k)
+
+    def _split(self, rows: pd.DataFrame) -> list[pd.DataFrame]:
+        """Rows that count, one column for each counter, and values that may lead."""
+        total = rows["dim"] == TOTAL
+        own = rows["dim"].isin(COUNTED)
+        some, total = rows[own], total[own]
+        n = some["cnt"].where(total | self.counted, 1)
+        counts = some[[*WINDOW, "closed_at"]].assign(
+            n=n.where(total, 0), **{c: n.where(some["dim"] == c, 0) for c in (SUBJECT, ACTOR)},
+            **{c: some[c].where(total, 0) for c in ("bots", "news", "bytes")})
+        return [counts, rows.loc[~own, [*WINDOW, "dim", "value", "cnt", "first_seq", "closed_at"]]]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frames, size, held = [], 0, 0
+        for chunk in rows:
+            frames += self._split(chunk)
+            size += len(chunk)
+            if size > max(held, HELD):
+                frames = list(self._merge(frames))
+                held, size = len(frames[1]), 0
+        sums, best = self._merge(frames)
+        yield from self._closed(sums, best) if self.final else self._partial(sums, best)
+
+    def _closed(self, sums: pd.DataFrame, best: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        place = {dim: i for i, dim in enumerate(self.dims)}
+        dims: dict[tuple, list[list]] = {}
+        for series, window, dim, value, cnt in zip(*(best[c].tolist() for c in (*WINDOW, "dim", "value", "cnt"))):
+            if dim in place:
+                held = dims.setdefault((series, window), [[] for _ in place])[place[dim]]
+                held.append({"dim": dim, "rk": len(held) + 1, "value": value, "cnt": cnt})
+        nested = [[d for held in dims.get(w, ()) for d in held] for w in zip(sums["series"].tolist(), sums["window_id"].tolist())]
+        yield pd.DataFrame({
+            "series": sums["series"], "window_id": sums["window_id"], "count": sums["n"],
+            "distinct_subjects": sums[SUBJECT], "distinct_actors": sums[ACTOR], "bot_count": sums["bots"],
+            "new_count": sums["news"], "bytes_changed": sums["bytes"], "dims": nested, "closed_at": sums["closed_at"]})
+
+    def _partial(self, sums: pd.DataFrame, best: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in PARTIAL.split(", ")]
+        none = {"value": None, "first_seq": LAST_SEQ, "bots": 0, "news": 0, "bytes": 0}
+        for dim, column in ((SUBJECT, SUBJECT), (ACTOR, ACTOR), (TOTAL, "n")):
+            some = sums[sums[column] > 0]
+            own = {c: some[c] for c in ("bots", "news", "bytes")} if dim == TOTAL else {}
+            yield some[[*WINDOW, "closed_at"]].assign(**{**none, **own, "dim": dim, "cnt": some[column]})[names]
+        yield best.assign(bots=0, news=0, bytes=0)[names]
 
     def close(self) -> None:
         pass

@@ -350,3 +350,37 @@ def test_long_gap_comes_in_blocks():
         at += len(out)
     assert max(sizes) == scoring.BLOCK and sum(sizes) == 200_001
     assert out["sightings"].iloc[-1][0]["baseline"] == 0.0
+
+
+def frames_of(rows, size):
+    import pandas as pd
+
+    names = [f.split()[0] for f in closing.PARTIAL.split(", ")]
+    return iter([pd.DataFrame(rows[i:i + size], columns=names) for i in range(0, len(rows), size)])
+
+
+@pytest.mark.parametrize("held", [7, 50_000])
+def test_windows_pass_the_leading_values_many_at_a_time(monkeypatch, held):
+    """Forty windows in frames that cut them anywhere, against sorting each window's values."""
+    import random
+
+    import pandas as pd
+
+    monkeypatch.setattr(closing, "HELD", held)
+    rng, at, rows, want = random.Random(3), pd.Timestamp(0), [], {}
+    for w in range(40):
+        values = [(d, f"v{i}", rng.randint(1, 4), rng.choice([i, closing.LAST_SEQ])) for d in ("lang", "kind") for i in range(9)]
+        rows += [("s", w, d, v, n, first, 0, 0, 0, at) for d, v, n, first in values]
+        rows += [("s", w, closing.ACTOR, f"u{i}", 5, 1, 0, 0, 0, at) for i in range(w % 4)]
+        rows.append(("s", w, closing.TOTAL, "all", 30 + w, 0, 2, 3, 4 * w, at))
+        order = lambda d: sorted((-n, first, v) for x, v, n, first in values if x == d)[:CFG.dim_topk]
+        want[w] = (30 + w, 0, w % 4, 2, 3, 4 * w, [
+            (d, i + 1, v, -n) for d in CFG.track_dims if d in ("lang", "kind") for i, (n, _, v) in enumerate(order(d))])
+    rng.shuffle(rows)
+    whole = pd.concat(closing.LeadingValues(CFG, True).handleInputRows((1,), frames_of(rows, 11), None))
+    half = [p for i in (0, 1) for f in closing.LeadingValues(CFG, False).handleInputRows((i,), frames_of(rows[i::2], 11), None)
+            for p in f.itertuples(index=False, name=None)]
+    salted = pd.concat(closing.LeadingValues(CFG, True, True).handleInputRows((1,), frames_of(half, 11), None))
+    for found in (whole, salted):
+        assert {r.window_id: (r[2], r.distinct_subjects, r.distinct_actors, r.bot_count, r.new_count, r.bytes_changed, [
+            (d["dim"], d["rk"], d["value"], d["cnt"]) for d in r.dims]) for r in found.itertuples(index=False)} == want
