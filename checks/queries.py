@@ -33,6 +33,7 @@ FLUSH_TO = 1_706_749_200.0      # 2024-02-01 01:00 UTC
 FEED_TICK = 150.0               # a silence over 600 s counts as stale
 QUIET_FROM = 1_704_672_000.0    # 2024-01-08 00:00 UTC
 INGEST_TIME = 1_700_000_000.0
+FILE_ROWS = 250_000                # events in a file of a made micro-batch, about
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -712,13 +713,7 @@ def stream_windows(spark, sf):
 
 def stream_topk(spark, sf):
     """Ranked values of every dimension of closed windows, over four micro-batches in time order."""
-    root = stage_path(spark, "quarters")
-    ev = events(spark, sf)
-    first, last = ev.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
-    quarter = F.floor((F.unix_micros("ts") - first) * 4 / (last - first + 1))
-    for part in range(4):
-        ev.where(quarter == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = in_quarters(spark, events(spark, sf))
     closed = run_to_table(closing.closed_windows(stream, HOURLY.with_(dim_topk=3)), "topk")
     return closed.select("series", "window_id", "distinct_actors", F.inline("dims"))
 
@@ -739,9 +734,8 @@ def stream_fold(spark, sf):
     late = ev.withColumn("seq", (F.col("seq") + 37 * (F.col("seq") % 11)) * 11 + F.col("seq") % 11)
     last = late.agg(F.max("seq").alias("m")).scalar()
     late = stage(late.withColumn("quarter", F.floor(F.col("seq") * 4 / (last + 1))), "arrivals")
-    for quarter in range(4):
-        late.where(F.col("quarter") == quarter).drop("quarter").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    stream = in_batches(
+        spark, [late.where(F.col("quarter") == quarter).drop("quarter") for quarter in range(4)], late.count(), "fold")
     query = closing.fold_stream(stream, f"{root}/w", f"{root}/checkpoint", TWO)
     query.awaitTermination()
     closing.flush_open(spark, f"{root}/w", query.lastProgress["batchId"], TWO)
@@ -767,21 +761,32 @@ def stream_recorded_fold(spark, sf):
     return closed.select("series", "window_id", *win.COUNTS)
 
 
+def in_batches(spark, parts: list[DataFrame], rows: int, name: str) -> DataFrame:
+    """A stream that takes one of ``parts`` with each micro-batch. All are written in the same number
+    of files, which follows the ``rows`` of all, so that no part passes one task."""
+    root = stage_path(spark, name)
+    n = max(1, -(-rows // (len(parts) * FILE_ROWS)))
+    none = spark.createDataFrame([], parts[0].schema)
+    for i, part in enumerate(parts):
+        (part.coalesce(1) if n == 1 else part.repartition(n)).write.parquet(f"{root}/{i}")
+        for _ in range(n - len(spark.read.parquet(f"{root}/{i}").inputFiles())):      # an empty partition leaves none
+            none.coalesce(1).write.mode("append").parquet(f"{root}/{i}")
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", n).parquet(f"{root}/*")
+
+
 def in_quarters(spark, ev: DataFrame) -> DataFrame:
     """Events as a stream of four micro-batches in order of time."""
-    root = stage_path(spark, "quarters")
     micros = F.unix_micros("ts")
-    first, last = ev.agg(F.min(micros), F.max(micros)).first()
-    for part in range(4):
-        ev.where(F.floor((micros - first) * 4 / (last - first + 1)) == part).write.mode("append").parquet(f"{root}/{part}")
-    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+    first, last, rows = ev.agg(F.min(micros), F.max(micros), F.count(F.lit(1))).first()
+    quarter = F.floor((micros - first) * 4 / (last - first + 1))
+    return in_batches(spark, [ev.where(quarter == part) for part in range(4)], rows, "quarters")
 
 
 def stream_anomalies(spark, sf):
     """Events to the stored metric and anomaly tables: three detectors, several micro-batches."""
     root = stage_path(spark, "live")
     run.stream_anomalies(
-        in_quarters(spark, events(spark, sf).coalesce(1)), root, f"{root}/checkpoint", THREE).awaitTermination()
+        in_quarters(spark, events(spark, sf)), root, f"{root}/checkpoint", THREE).awaitTermination()
     m, a = history.read_metrics(spark, f"{root}/metrics"), history.read_anomalies(spark, f"{root}/anomalies")
     flags = F.aggregate("detectors", F.lit(0), lambda n, d: n + d["flag"].cast("int"))
     none = lambda t: F.lit(None).cast(t)
@@ -802,7 +807,7 @@ def stream_bootstrap(spark, sf):
     past, coming = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
     windows = stage(win.window_metrics(past, THREE), "windows")
     state = handover.scorer_state(windows, win.dim_topk(win.dim_counts(past, THREE), THREE), THREE)
-    closed = closing.closed_windows(in_quarters(spark, coming.coalesce(1)), THREE)
+    closed = closing.closed_windows(in_quarters(spark, coming), THREE)
     live = run_to_table(scoring.score_stream(closed, THREE, initial=state), "live")
     rows = score_windows(windows, THREE).select("series", "window_id", "detectors").unionByName(
         live.select("series", "window_id", "detectors"))
@@ -819,14 +824,14 @@ def stream_idle(spark, sf):
     ev = events(spark, sf)
     quiet = F.timestamp_seconds(F.lit(int(QUIET_FROM)))
     kept = ev.where((F.col("event_type") != "purchase") | (F.col("ts") < quiet))
-    closed = closing.closed_windows(in_quarters(spark, kept.coalesce(1)), HOURLY, BY_TYPE)
+    closed = closing.closed_windows(in_quarters(spark, kept), HOURLY, BY_TYPE)
     return run_to_table(scoring.score_stream(closed, HOURLY, idle=True), "idle").select(
         "series", "window_id", "count", F.size("sightings").alias("n_dims"))
 
 
 def stream_trailing(spark, sf):
     """Events of the last day, hour by hour and per event type, on a stream."""
-    ev = with_series(in_quarters(spark, events(spark, sf).coalesce(1)), BY_TYPE).withWatermark("ts", "0 seconds")
+    ev = with_series(in_quarters(spark, events(spark, sf)), BY_TYPE).withWatermark("ts", "0 seconds")
     return run_to_table(health.trailing_panes(ev, "ts", 86_400, 3_600), "trailing").select(
         "series", F.unix_seconds("until").alias("until"), "trailing")
 

@@ -384,3 +384,18 @@ def test_windows_pass_the_leading_values_many_at_a_time(monkeypatch, held):
     for found in (whole, salted):
         assert {r.window_id: (r[2], r.distinct_subjects, r.distinct_actors, r.bot_count, r.new_count, r.bytes_changed, [
             (d["dim"], d["rk"], d["value"], d["cnt"]) for d in r.dims]) for r in found.itertuples(index=False)} == want
+
+
+def test_made_batches_have_as_many_files_as_their_rows_need(spark, tmp_path, monkeypatch):
+    """Each micro-batch takes one part, also an empty one, and no part is written by one task."""
+    from checks import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    ev = spark.range(120).selectExpr("id", "id % 3 AS part")
+    parts = [ev.where(f"part = {i}") for i in range(4)]
+    seen = []
+    q = (queries.in_batches(spark, parts, 120, "made").writeStream.option("checkpointLocation", str(tmp_path / "ck"))
+         .trigger(availableNow=True).foreachBatch(
+             lambda df, n: seen.append((df.rdd.getNumPartitions() > 1, sorted({r.part for r in df.collect()}), df.count()))).start())
+    q.awaitTermination()
+    assert [s[1:] for s in seen] == [([0], 40), ([1], 40), ([2], 40), ([], 0)]
