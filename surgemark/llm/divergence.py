@@ -45,6 +45,7 @@ from surgemark.plans.staging import stage
 LEAST = 3                     # documents of a language that hold a kept term
 TOP = 200                     # terms ranked for each group
 SCALE = 1_000_000_000
+SMALL = 9_000_000_000         # a count below it fits a long when multiplied by SCALE
 HELD = 400_000                # counts that a task holds before it passes them on
 BLOCK = 256                   # terms compared with the retained ones at a time
 SALTS = 16                    # parts in which skybands are merged
@@ -105,9 +106,11 @@ def kept_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def weight(count: Column, total: Column, vocabulary: Column) -> Column:
-    """p, exact for counts of any size."""
+    """p, exact for counts of any size; decimals only where a count times ``SCALE`` is no long."""
     whole = lambda c: c.cast("decimal(20,0)")
-    return 1 + F.call_function("div", whole(count + 1) * F.lit(SCALE), whole(total + vocabulary)).cast("long")
+    large = F.call_function("div", whole(count + 1) * F.lit(SCALE), whole(total + vocabulary)).cast("long")
+    small = F.call_function("div", (count + 1).cast("long") * F.lit(SCALE).cast("long"), total + vocabulary)
+    return 1 + F.when(count < SMALL, small).otherwise(large)
 
 
 def difference(p: Column, q: Column) -> Column:
@@ -137,14 +140,26 @@ class Skyband:
         self.terms: list[bytes] = []              # retained, in UTF-8 order
         self.totals = np.zeros(0, np.int64)       # of the retained, in that order
 
+    def _above(self, some: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """How many retained ones dominate each: a table of the retained by the first of the given,
+        in order of place and in order of total, that they stand before; then its running sums."""
+        n = len(some) + 1
+        by_place, by_total = np.argsort(place, kind="stable"), np.argsort(some, kind="stable")
+        first_place = np.searchsorted(place[by_place], np.arange(len(self.totals)), side="right")
+        first_total = np.searchsorted(some[by_total], self.totals, side="left")
+        table = np.bincount(first_place * n + first_total, minlength=n * n).reshape(n, n)
+        table = table.cumsum(axis=0).cumsum(axis=1)
+        at_place, at_total = np.empty(n - 1, np.int64), np.empty(n - 1, np.int64)
+        at_place[by_place] = at_total[by_total] = np.arange(n - 1)
+        return table[at_place, at_total]
+
     def retain(self, totals: np.ndarray, terms: list[bytes]) -> list[int]:
         """Places of the next terms that fewer than ``k`` retained ones dominate."""
         out: list[int] = []
         for at in range(0, len(terms), BLOCK):
             some, names = totals[at:at + BLOCK], terms[at:at + BLOCK]
             place = np.array([bisect_right(self.terms, t) for t in names])
-            earlier = np.arange(len(self.terms)) < place[:, None]
-            above = ((self.totals <= some[:, None]) & earlier).sum(axis=1)
+            above = self._above(some, place)
             rank = np.empty(len(names), np.int64)
             rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
             under = np.tril((some <= some[:, None]) & (rank < rank[:, None]))
@@ -168,15 +183,17 @@ def skybands(rows: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, band = None, Skyband(k)
         for batch in batches:
-            langs, sources, terms = (batch.column(i).to_pylist() for i in (0, 1, 4))
-            totals = batch.column(3).to_numpy()
-            keys = list(zip(langs, sources))
-            edges = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            if not batch.num_rows:
+                continue
+            terms, totals = batch.column(4).to_pylist(), batch.column(3).to_numpy()
+            codes = [batch.column(i).dictionary_encode().indices.to_numpy() for i in (0, 1)]
+            edges = [0, *(np.flatnonzero((np.diff(codes[0]) != 0) | (np.diff(codes[1]) != 0)) + 1).tolist(), len(terms)]
             kept: list[int] = []
             for lo, hi in zip(edges, edges[1:]):
                 if lo < hi:
-                    if keys[lo] != group:
-                        group, band = keys[lo], Skyband(k)
+                    key = (batch.column(0)[lo].as_py(), batch.column(1)[lo].as_py())
+                    if key != group:
+                        group, band = key, Skyband(k)
                     kept += [lo + i for i in band.retain(totals[lo:hi], terms[lo:hi])]
             if kept:
                 yield batch.take(pa.array(kept))

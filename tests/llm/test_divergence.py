@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 
 from surgemark.llm import divergence as dv
 
@@ -64,3 +65,21 @@ def test_skyband_keeps_what_can_be_first():
 def test_weights_of_huge_counts(spark):
     row = spark.range(1).select(dv.weight(dv.F.lit(4 * 10**15), dv.F.lit(9 * 10**17), dv.F.lit(12345)).alias("p")).first()
     assert row.p == 1 + 10**9 * (4 * 10**15 + 1) // (9 * 10**17 + 12345)
+
+
+def test_retained_that_dominate_are_counted_as_one_by_one():
+    rng = random.Random(4)
+    for held in (0, 1, 9, 60):
+        band = dv.Skyband(3)
+        band.totals = np.array([rng.randint(0, 9) for _ in range(held)], np.int64)
+        some = np.array([rng.randint(0, 9) for _ in range(40)], np.int64)
+        place = np.array([rng.randint(0, held) for _ in range(40)])
+        want = [sum(band.totals[:p] <= t) for t, p in zip(some.tolist(), place.tolist())]
+        assert band._above(some, place).tolist() == want
+
+
+def test_weights_of_counts_that_are_too_large_for_a_long(spark):
+    counts = [0, 5, dv.SMALL - 1, dv.SMALL, 2 ** 62]
+    rows = spark.createDataFrame([(n, 2 ** 62, 7) for n in counts], "n long, size long, v long")
+    got = rows.select(dv.weight(F.col("n"), F.col("size"), F.col("v")).alias("p")).collect()
+    assert [r.p for r in got] == [1 + 1_000_000_000 * (n + 1) // (2 ** 62 + 7) for n in counts]
